@@ -291,9 +291,11 @@ def kept_rows(df: DataFrame, stamp: str, days: int, as_of: date, task: str | Non
     return df.filter(~old)
 
 
-def prune(spark: SparkSession, name: str, stamp: str, days: int, as_of: date, task: str | None = None) -> LoadResult:
+def prune(
+    spark: SparkSession, name: str, stamp: str, days: int, as_of: date, task: str | None = None, task_col: str = "TASK_NAME"
+) -> LoadResult:
     """Drop old log rows."""
-    return replace_table(kept_rows(spark.table(name), stamp, days, as_of, task), name)
+    return replace_table(kept_rows(spark.table(name), stamp, days, as_of, task, task_col), name)
 
 
 def create_view(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:

@@ -134,8 +134,21 @@ def project_json(df: DataFrame, text_fields: Sequence[str], time_fields: Sequenc
     )
 
 
-def project_variant(df: DataFrame, json_col: str, text_fields: Sequence[str], time_fields: Sequence[str]) -> DataFrame:
+def project_variant(
+    df: DataFrame,
+    json_col: str,
+    text_fields: Sequence[str],
+    time_fields: Sequence[str],
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """The same projection from one JSON text column; unparsable text gives empty fields."""
     parsed = df.withColumn("__v", F.try_parse_json(json_col))
-    fields = [F.try_variant_get("__v", f"$.{name}", "string").alias(name) for name in [*text_fields, *time_fields]]
-    return project_json(parsed.select(*fields), text_fields, time_fields)
+
+    def field(name: str):
+        return F.try_variant_get("__v", f"$.{name}", "string")
+
+    return parsed.select(
+        *keep,
+        *[blank_if_null(field(name)).alias(name.upper()) for name in text_fields],
+        *[safe_timestamp(field(name)).alias(name.upper()) for name in time_fields],
+    )
