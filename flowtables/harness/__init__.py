@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("text", "billing", "deltas", "files")
+_MODULES = ("text", "billing", "deltas", "files", "flows")
 
 
 def _load() -> None:

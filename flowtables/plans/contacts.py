@@ -15,7 +15,7 @@ from flowtables.operators.aggregates import counts
 from flowtables.operators.delta import after_watermark, hash_delta, high_watermark, mark_processed, new_files, retry_unmapped
 from flowtables.operators.filters import flagged, pending
 from flowtables.operators.joins import enrich, lookup_by_key, map_codes, new_rows
-from flowtables.operators.merge import mark_sent, missing_rows, update_from
+from flowtables.operators.merge import missing_rows, update_from
 from flowtables.operators.windows import keep_latest
 from flowtables.plans.outbox import flush
 from flowtables.plans.rules import (
@@ -129,14 +129,14 @@ def ingest(spark: SparkSession, cfg: ContactsConfig, as_of: datetime) -> str:
     def job() -> tuple[str, str | None]:
         ensure_table(spark, cfg.ledger, schemas.FILE_LEDGER)
         ensure_table(spark, cfg.contacts, with_month(schemas.CONTACTS), [LOAD_MONTH])
-        files = list_files(spark, cfg.inbox, "*.json")
+        files = list_files(spark, cfg.inbox, cfg.file_glob)
         fresh = files.join(new_files(files, spark.table(cfg.ledger), cfg.file_part), "file_name", "left_semi")
         paths = paths_of(fresh)
         if not paths:
             return "NEW: Files=0 | No new files to process", None
 
         schema = json_schema(schemas.CONTACT_TEXT_FIELDS, schemas.CONTACT_TIME_FIELDS)
-        raw = read_json_array(spark, paths, schema)
+        raw = read_json_array(spark, paths, schema, multi_line=cfg.whole_file_arrays)
         delta = staged(project_json(raw, schemas.CONTACT_TEXT_FIELDS, schemas.CONTACT_TIME_FIELDS), "contacts")
         systems = company_systems(spark.table(cfg.companies), cfg.names)
         mapped = staged(
@@ -162,7 +162,7 @@ def ingest(spark: SparkSession, cfg: ContactsConfig, as_of: datetime) -> str:
         inserted = append_table(new_rows(mapped, spark.table(cfg.contacts), ["HS_OBJECT_ID"]), cfg.contacts).rows
         append_table(mark_processed(spark.table(cfg.ledger), fresh.select("file_name").distinct(), as_of), cfg.ledger)
         totals = counts(spark.table(cfg.contacts), {"UNMAPPED": F.col("ROSTER_SYSTEM").isNull()}).first()
-        names = ", ".join(p.rsplit("/", 1)[-1] for p in paths)
+        names = ", ".join(sorted(p.rsplit("/", 1)[-1] for p in paths))
         return (
             f"NEW: Files={len(paths)} | JSON={delta.count()} | Inserted={inserted} | "
             f"Updated={updated} | Unmapped={totals.UNMAPPED}",
@@ -285,8 +285,3 @@ def _send_updates(
         keys, local_time(as_of), "UPD", stamp_col,
     )
 
-
-__all__ = [
-    "ingest", "send_csv", "send_table", "pull_acks", "updates_from_files", "updates_from_table",
-    "mark_sent", "map_to_system", "company_systems", "contact_csv", "outbound_mapping",
-]

@@ -85,7 +85,9 @@ class ContactsConfig:
 
     names: NameRules = field(default_factory=NameRules)
     inbox: str = ""
+    file_glob: str = "*.json"
     file_part: str = "contacts_"
+    whole_file_arrays: bool = True
     ledger: str = "processed_files"
     contacts: str = "contacts"
     companies: str = "company"
