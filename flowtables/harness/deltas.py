@@ -15,6 +15,7 @@ from flowtables.operators.delta import after_watermark, conform_names, hash_delt
 from flowtables.operators.filters import pending
 from flowtables.operators.joins import enrich, lookup_by_key, new_rows
 from flowtables.operators.merge import mark_sent, merge_insert, merge_upsert, resend, update_from
+from flowtables.session import staged
 
 STAMP = datetime(2024, 2, 1, 9, 30)
 
@@ -152,7 +153,8 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
         (F.lit(-1) - F.col("s_suppkey")).alias("id"), F.lit(None).cast("string").alias("seg"), F.col("s_name").alias("name"),
         money("s_acctbal").alias("amount"),
     )
-    result = merge_upsert(target, changes.unionByName(new), ["id", "seg"], ["amount"], blank_null=["seg"])
+    source = staged(changes.unionByName(new), "merge-source")
+    result = merge_upsert(target, source, ["id", "seg"], ["amount"], blank_null=["seg"])
     return result.select("id", F.coalesce("seg", F.lit("<null>")).alias("seg"), "name", number("amount", "amount"))
 
 

@@ -132,7 +132,7 @@ def monthly_loads(spark: SparkSession, sf: str) -> DataFrame:
     lines = items(spark, sf).withColumn("__a", F.col("jobtypegroupname") == "O")
     for kind, rows, schema in (("header", status, schemas.INVOICE_HEADER), ("item", lines, schemas.INVOICE_ITEM)):
         for region, chosen in (("A", F.col("__a")), ("B", ~F.col("__a"))):
-            export_csv(rows.filter(chosen).select(*schema.names), folder, f"{region}_{kind}_2026_02.csv", single_file=False, null_value="NULL")
+            export_csv(schemas.pad_to(rows.filter(chosen), schema), folder, f"{region}_{kind}_2026_02.csv", single_file=False, null_value="NULL")
     cfg = RevenueConfig(
         regions=(Region("A", "SYS-A"), Region("B", "SYS-B")), landing=folder,
         header_table=f"{db}.invoice_header", item_table=f"{db}.invoice_item",

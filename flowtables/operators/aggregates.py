@@ -40,29 +40,37 @@ def detail_aggregate(
 def summarise_billing(
     detail: DataFrame,
     keys: Sequence[str],
-    extra: Sequence[Column] = (),
+    name: str | None = None,
     amount_type: str = WHOLE_UNITS,
 ) -> DataFrame:
     """Invoiced amounts, expenses and hours per group.
 
     Split and discount apply per line, VAT once per group at the highest rate found there.
     Amounts are rounded to cents and then stored as ``amount_type``.
+
+    ``name`` is a text that belongs to a group but may be spelled in several ways; the
+    largest spelling is kept.  The lines are summed per spelling first, which is a hash
+    aggregation starting in the map tasks, and the few spellings of a group after that.
     """
     expense = F.col("TYPE") == "expense"
     zero = F.lit(0).cast("decimal(27,6)")
     billed = F.when(~expense, adjusted_amount("TOT_AMT_BILLING", "SPLIT", "DISCOUNTPERCENT")).otherwise(zero)
     spent = F.when(expense, split_amount("TOT_AMT_BILLING", "SPLIT").cast("decimal(27,6)")).otherwise(zero)
-    groups = detail.groupBy(*keys).agg(
+    spellings = [name] if name else []
+    groups = detail.groupBy(*keys, *spellings).agg(
         F.sum(billed).alias("__billed"),
         F.sum(spent).alias("__spent"),
         F.sum("TOT_CNT_HOURS").alias("__hours"),
         F.max("VAT").alias("__vat"),
-        *extra,
     )
-    extra_names = [c for c in groups.columns if c not in keys and not c.startswith("__")]
+    if name:
+        groups = groups.groupBy(*keys).agg(
+            F.max(name).alias(name), F.max("__vat").alias("__vat"),
+            *[F.sum(c).alias(c) for c in ("__billed", "__spent", "__hours")],
+        )
     return groups.select(
         *keys,
-        *extra_names,
+        *spellings,
         gross_up("__billed", "__vat").cast(amount_type).alias("TOT_AMT_INVOICED"),
         gross_up("__spent", "__vat").cast(amount_type).alias("TOT_AMT_EXPENSES"),
         F.round("__hours", 2).cast(amount_type).alias("TOT_CNT_HOURS"),

@@ -71,7 +71,7 @@ def hash_delta(
     once = keep_latest(hashed, [hash_col], [])
     if key is not None:
         history = keep_latest(history, [key], [latest_first(recency)])
-    return new_rows(once, history, [hash_col], **join_options)
+    return new_rows(once, history, [hash_col], wanted=hashed, **join_options)
 
 
 def retry_unmapped(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,11 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
+def no_null(names: Sequence[str]) -> Column:
+    """No key is NULL, in the form that reaches the scan."""
+    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
     """Equi-join with every key of ``left`` spread over ``salts`` tasks.
 
@@ -147,6 +153,7 @@ def anti_join(
     small: bool | None = None,
     limit: int = BROADCAST_BYTES,
     salts: int = 2,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``source`` whose key is not in ``target``; a NULL key is never found.
 
@@ -154,10 +161,11 @@ def anti_join(
     keys are broadcast to cut the history down to the keys that can match at all, so the
     history is scanned for its key columns but never shuffled.  A larger source shuffles
     both sides; few salts are enough there, since adaptive execution splits what is left.
+    ``wanted`` may name a cheaper frame holding at least the keys of ``source``.
     """
     keys = list(keys)
-    known = target.select(*keys).dropna(subset=keys)
-    wanted = source.select(*keys)
+    known = target.select(*keys).filter(no_null(keys))
+    wanted = source.select(*keys) if wanted is None else wanted.select(*keys)
     if small is None:
         small = fits_broadcast(wanted, limit)
     if small:

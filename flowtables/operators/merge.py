@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowtables.functions.dates import ntz
-from flowtables.operators.joins import BROADCAST_BYTES, anti_join, fits_broadcast, join_unique, salted_join
+from flowtables.operators.joins import BROADCAST_BYTES, anti_join, fits_broadcast, join_unique, no_null, salted_join
 
 _HIT = "__hit"
 
@@ -31,13 +30,9 @@ def _keyed(df: DataFrame, keys: Sequence[str], blank_null: Sequence[str]) -> tup
     return df, names
 
 
-def _no_null(names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
-
-
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Stop when two rows share a key without NULLs; one grouped count, no rows collected."""
-    repeated = df.filter(_no_null(keys)).groupBy(*keys).count().filter(F.col("count") > 1)
+    repeated = df.filter(no_null(keys)).groupBy(*keys).count().filter(F.col("count") > 1)
     if not repeated.isEmpty():
         raise DuplicateSourceKey(f"source rows repeat a key of {list(keys)}")
 
@@ -56,7 +51,8 @@ def merge_upsert(
 
     Keys in ``blank_null`` treat NULL as the empty string; any other NULL never matches.
     A small source is broadcast, so the target is scanned but not shuffled; a large one is
-    joined with salted keys.
+    joined with salted keys.  The source is read more than once: stage it first when it is
+    the result of more than a scan.
     """
     insert_cols = list(insert_cols if insert_cols is not None else [c for c in target.columns if c in source.columns])
     source_k, names = _keyed(source, keys, blank_null)
@@ -65,7 +61,7 @@ def merge_upsert(
         assert_unique(source_k, names)
     small = fits_broadcast(source_k.select(*names, *update_cols), limit)
 
-    changes = source_k.filter(_no_null(names)).select(
+    changes = source_k.filter(no_null(names)).select(
         *names, *[F.col(c).alias(f"__new_{c}") for c in update_cols], F.lit(True).alias(_HIT)
     )
     if small:

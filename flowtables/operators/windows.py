@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from flowtables.functions.text import row_hash
 
 _RANK = "__rank"
+_HASH = "__hash"
 _UNORDERED = (T.MapType, T.VariantType)
 
 
@@ -43,7 +44,8 @@ def keep_latest(
 
     ``row_number() = 1`` lets Spark keep one row per key in every map task before the
     shuffle, so a key holding a third of all rows sends one row per task.  The trailing
-    columns make the choice total: rows that still tie are equal in every column.  With
+    columns make the choice total: rows that still tie are equal in every column.  Several
+    keys are led by their hash, which decides nearly every comparison of the sort.  With
     ``keep_null_keys`` a NULL key equals no other key, so such rows stay unless they are
     copies of one another.
     """
@@ -55,6 +57,9 @@ def keep_latest(
     if tiebreak is None:
         orderable = {f.name for f in df.schema if not isinstance(f.dataType, _UNORDERED)}
         tiebreak = [c for c in columns if c not in names and c in orderable]
+    if len(names) > 1:
+        work = work.withColumn(_HASH, F.xxhash64(*names))
+        names = [_HASH, *names]
     ordering = [*order, *[F.col(c).asc_nulls_last() for c in tiebreak]]
     rank = F.row_number().over(Window.partitionBy(*names).orderBy(*ordering))
     return work.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).select(*columns)

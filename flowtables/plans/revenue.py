@@ -107,7 +107,7 @@ def line_summary(detail: DataFrame, amount_type: str = WHOLE_UNITS) -> DataFrame
     so the summary never has two rows for one merge key.
     """
     counted = detail.filter(differs_or_null("MANUALINVOICE", EXCLUDED_MANUAL_CODE) & F.col("BRANCHID").isNotNull())
-    summary = summarise_billing(counted, SUMMARY_KEYS, [F.max("BRANCHNAME").alias("BRANCHNAME")], amount_type)
+    summary = summarise_billing(counted, SUMMARY_KEYS, "BRANCHNAME", amount_type)
     return summary.select(
         "ROSTER_SYSTEM", "BRANCHID", "BRANCHNAME", "INVOICE_YEAR", "INVOICE_MONTH",
         F.lit("").alias("TERRITORY"), "CATEGORY_OF_CARE", "FUNDER_TYPE", F.lit("").alias("CARE_TYPE"),

@@ -82,13 +82,15 @@ def balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
 
 def in_table_order(df: DataFrame, name: str) -> DataFrame:
     """Columns by name in the order of the table, cast to its types; absent ones are NULL."""
-    have = {c.lower() for c in df.columns}
-    return df.select(
-        *[
-            (F.col(f.name).cast(f.dataType) if f.name.lower() in have else null_of(f.dataType)).alias(f.name)
-            for f in df.sparkSession.table(name).schema
-        ]
-    )
+    have = {f.name.lower(): f.dataType for f in df.schema}
+
+    def fitted(field: T.StructField) -> Column | str:
+        dtype = have.get(field.name.lower())
+        if dtype is None:
+            return null_of(field.dataType).alias(field.name)
+        return field.name if dtype == field.dataType else F.col(field.name).cast(field.dataType).alias(field.name)
+
+    return df.select(*[fitted(f) for f in df.sparkSession.table(name).schema])
 
 
 def append_table(df: DataFrame, name: str) -> LoadResult:
