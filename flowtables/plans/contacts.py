@@ -240,8 +240,7 @@ def updates_from_files(spark: SparkSession, cfg: ContactsConfig, as_of: datetime
         ensure_table(spark, cfg.updates_files, with_month(schemas.UPDATES_FROM_FILES), [LOAD_MONTH])
         seen = {"landed": 0, "valid": 0, "inserted": 0}
 
-        def work(batch: DataFrame, _: int) -> None:
-            landed = staged(batch, "landed")
+        def work(landed: DataFrame, _: int) -> None:
             tally = counts(landed, {"VALID": is_filled("HS_OBJECT_ID")}).first()
             updates = file_updates(landed, spark.table(cfg.status_map))
             fresh = hash_delta(updates, spark.table(cfg.updates_files), schemas.STATUS_UPDATE_FIELDS)

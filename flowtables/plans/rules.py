@@ -63,8 +63,8 @@ class RevenueConfig:
     visit_prefix: str = "period_visit_"
     line_detail: str = "invoice_line_detail"
     line_summary: str = "invoice_line_summary"
-    snapshot_detail: str = "invoice_snapshot_detail_all"
-    snapshot_summary: str = "invoice_snapshot_summary_all"
+    snapshot_detail: str = "snapshot_detail"
+    snapshot_summary: str = "snapshot_summary"
     hours_summary: str = "hours_summary"
     legacy_dated: tuple[str, ...] = ()
     legacy_static: tuple[str, ...] = ()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from flowtables.functions.dates import safe_timestamp
@@ -97,16 +97,27 @@ def read_json_array(
     ``multi_line`` every line is an array of its own and large files are split over tasks.
     """
     rows = _json(spark, paths, schema, multi_line)
-    columns = [F.col(f"`{name}`") for name in schema.names]
-    filled = F.coalesce(*[F.col(f"`{name}`").cast("string") for name in schema.names]).isNotNull()
-    kept = rows.filter(F.col(_CORRUPT).isNull() & filled)
-    return kept.select(*columns, *([F.col("_metadata.file_name").alias("file_name")] if with_file else []))
+    names = [f"`{name}`" for name in schema.names]
+    name_of_file = [F.col("_metadata.file_name").alias("file_name")] if with_file else []
+    one = F.array(F.struct(*names))
+    elements = F.when(F.col(_CORRUPT).isNull(), one).otherwise(_salvaged(schema))
+    kept = rows.select(F.explode(elements).alias("__e"), *name_of_file)
+    filled = F.coalesce(*[F.col(f"__e.{name}").cast("string") for name in names]).isNotNull()
+    return kept.filter(filled).select(*[F.col(f"__e.{name}") for name in names], *[F.col("file_name") for _ in name_of_file])
+
+
+def _salvaged(schema: T.StructType) -> Column:
+    """Elements of a text the file reader gave up on; NULL when it is no JSON array.
+
+    The reader refuses an array that holds an explicit null; its other elements are good.
+    """
+    return F.from_json(F.col(_CORRUPT), T.ArrayType(schema))
 
 
 def unreadable_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """Names of the files that ``read_json_array`` skips."""
     # Spark refuses a query on the corrupt-record column alone, so one more is read with it.
-    bad = F.col(_CORRUPT).isNotNull() & F.col(f"`{schema.names[0]}`").isNull()
+    bad = F.col(_CORRUPT).isNotNull() & F.col(f"`{schema.names[0]}`").isNull() & _salvaged(schema).isNull()
     return _json(spark, paths, schema).filter(bad).select(F.col("_metadata.file_name").alias("file_name")).distinct()
 
 

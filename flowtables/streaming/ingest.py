@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flowtables.operators.delta import hash_delta
+from flowtables.session import scratch_path
 from flowtables.sinks.tables import append_table, ensure_table
 from flowtables.sources.files import keep_blank, landing_options, text_schema
 
@@ -69,10 +70,20 @@ def for_new_files(
     checkpoint: str,
     work: Callable[[DataFrame, int], None],
 ) -> StreamingQuery:
-    """Hand the rows of each batch of new files to ``work``; ``work`` must be idempotent."""
+    """Hand the rows of each batch of new files to ``work``; ``work`` must be idempotent.
+
+    The batch is staged first: its files are parsed once however often ``work`` reads it,
+    and ``work`` runs in the caller's session, whose table listings it keeps current.
+    """
+
+    def staged_work(batch: DataFrame, number: int) -> None:
+        path = scratch_path(spark, "arrived")
+        batch.write.parquet(path)
+        work(spark.read.schema(batch.schema).parquet(path), number)
+
     query = (
         files_stream(spark, folder, schema)
-        .writeStream.foreachBatch(work)
+        .writeStream.foreachBatch(staged_work)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -96,7 +107,6 @@ def hash_delta_stream(
     ensure_table(spark, history, T.StructType([*text_schema(schema).fields, T.StructField("ROW_HASH", T.StringType())]))
 
     def work(batch: DataFrame, _: int) -> None:
-        known = batch.sparkSession.table(history)
-        append_table(hash_delta(batch.filter(F.col(cols[0]) != ""), known, cols), history)
+        append_table(hash_delta(batch.filter(F.col(cols[0]) != ""), spark.table(history), cols), history)
 
     return for_new_files(spark, folder, schema, checkpoint, work)
