@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowtables.functions.dates import day_first_timestamp, retype_column, same_year
 from flowtables.functions.text import row_hash
 from flowtables.harness.registry import money, ntz, number, query, table
-from flowtables.operators.aggregates import counts, extremes, joined_names, most_recent
+from flowtables.operators.aggregates import counts, joined_names, most_recent
 from flowtables.operators.conform import append_by_name
 from flowtables.operators.delta import after_watermark, conform_names, hash_delta, high_watermark, retry_unmapped, tracked_delta
 from flowtables.operators.filters import pending
@@ -251,11 +251,9 @@ def ordered_names(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def global_counts(spark: SparkSession, sf: str) -> DataFrame:
     def line(source: str, df: DataFrame, valid, value: str) -> DataFrame:
-        totals = counts(df, {"valid": valid}, "total").select(F.lit(source).alias("source"), "total", "valid")
-        peak = extremes(df, value).select(
-            F.lit(source).alias("source"), number(F.coalesce("MAX_VALUE", F.lit(-1)), "largest"), number("SUM_VALUE", "summed")
-        )
-        return totals.join(peak, "source")
+        totals = counts(df, {"valid": valid}, "total", value)
+        peak = F.coalesce("MAX_VALUE", F.lit(-1))
+        return totals.select(F.lit(source).alias("source"), "total", "valid", number(peak, "largest"), number("SUM_VALUE", "summed"))
 
     events = table(spark, sf, "events").withColumn("value", money("value"))
     labels = table(spark, sf, "labels")

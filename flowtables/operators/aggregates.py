@@ -20,21 +20,20 @@ def detail_aggregate(
     headers: DataFrame,
     items: DataFrame,
     key: str,
-    header_cols: Sequence[str],
     item_cols: Sequence[str],
     sums: Mapping[str, str],
     amount_type: str = WHOLE_UNITS,
 ) -> DataFrame:
     """Sums per invoice and item group, with the header columns attached.
 
-    The header columns depend on ``key`` alone and ``headers`` has one row per key, so the
-    items are summed before the join.  That is the same grouping, but the sums start in the
+    ``headers`` has one row per key, so its columns depend on ``key`` alone and the items
+    can be summed before the join.  That is the same grouping, but the sums start in the
     map tasks: an invoice holding much of the data reaches the join as a few rows.
     """
     lines = items.groupBy(key, *item_cols).agg(
         *[F.round(F.sum(source), 2).cast(amount_type).alias(name) for name, source in sums.items()]
     )
-    return headers.select(key, *header_cols).join(lines, key, "inner")
+    return headers.join(lines, key, "inner")
 
 
 def summarise_billing(
@@ -158,14 +157,17 @@ def profile(
     return out.orderBy(*order) if order else out
 
 
-def counts(df: DataFrame, conditions: Mapping[str, Column], total: str = "TOTAL") -> DataFrame:
-    """Row count and conditional counts in one pass."""
-    return df.agg(F.count("*").alias(total), *[F.count_if(c).alias(name) for name, c in conditions.items()])
-
+def counts(
+    df: DataFrame, conditions: Mapping[str, Column], total: str = "TOTAL", value: str | None = None
+) -> DataFrame:
+    """One row, one pass: row count, conditional counts, and the largest and summed ``value``.
 
-def extremes(df: DataFrame, value: str) -> DataFrame:
-    """Largest value and a sum that is zero, not NULL, for no rows."""
-    return df.agg(F.max(value).alias("MAX_VALUE"), F.coalesce(F.sum(value), F.lit(0)).alias("SUM_VALUE"))
+    The sum is zero, not NULL, when there are no rows.
+    """
+    measures = [F.count("*").alias(total), *[F.count_if(c).alias(name) for name, c in conditions.items()]]
+    if value is not None:
+        measures += [F.max(value).alias("MAX_VALUE"), F.coalesce(F.sum(value), F.lit(0)).alias("SUM_VALUE")]
+    return df.agg(*measures)
 
 
 def joined_names(df: DataFrame, name: str, keys: Sequence[str] = (), sep: str = ", ", out: str = "NAMES") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -21,10 +22,10 @@ from flowtables.plans.outbox import flush
 from flowtables.plans.rules import (
     FILE_STATUS, LIVE_COMPANIES, SENT_CONTACT_TYPES, TABLE_STATUS, TABLE_STATUS_2, ContactsConfig, NameRules,
 )
-from flowtables.session import staged
+from flowtables.session import staging
 from flowtables.sinks.exports import export_csv, export_json_array
-from flowtables.sinks.tables import append_outbound, append_table, audited, change_table, ensure_table
-from flowtables.sources.files import json_schema, list_files, paths_of, project_json, read_json_array
+from flowtables.sinks.tables import LoadResult, append_outbound, append_table, audited, change_table, ensure_table, replace_table
+from flowtables.sources.files import json_schema, list_files, paths_of, project_json, read_json_array, read_typed_csv
 from flowtables.streaming.ingest import for_new_files
 
 # Mutable tables are partitioned by the month a row came in, so that stamping or completing
@@ -135,43 +136,52 @@ def ingest(spark: SparkSession, cfg: ContactsConfig, as_of: datetime) -> str:
         if not paths:
             return "NEW: Files=0 | No new files to process", None
 
-        schema = json_schema(schemas.CONTACT_TEXT_FIELDS, schemas.CONTACT_TIME_FIELDS)
-        raw = read_json_array(spark, paths, schema, multi_line=cfg.whole_file_arrays)
-        delta = staged(project_json(raw, schemas.CONTACT_TEXT_FIELDS, schemas.CONTACT_TIME_FIELDS), "contacts")
-        systems = company_systems(spark.table(cfg.companies), cfg.names)
-        mapped = staged(
-            map_to_system(one_per_contact(delta), systems)
-            .withColumn("SENT_TIMESTAMP", schemas.null_of("timestamp_ntz"))
-            .withColumn("CREATED_AT", ntz(as_of.replace(tzinfo=None)))
-            .withColumn(LOAD_MONTH, F.lit(month_of(as_of))),
-            "mapped",
-        )
-
-        contacts = spark.table(cfg.contacts)
-        found = staged(
-            retry_unmapped(contacts, systems, compact_key("OFFICE_LOCATION"), "OFFICE_KEY")
-            .select("HS_OBJECT_ID", "ROSTER_SYSTEM", LOAD_MONTH)
-            .unionByName(_newly_mapped(contacts, mapped)),
-            "completed",
-        )
-        updated = found.select("HS_OBJECT_ID", LOAD_MONTH).distinct().count()
-        change_table(
-            spark, cfg.contacts, found,
-            lambda old: update_from(old, found.drop(LOAD_MONTH), "HS_OBJECT_ID", ["ROSTER_SYSTEM"], F.col("ROSTER_SYSTEM").isNull()),
-        )
-        inserted = append_table(new_rows(mapped, spark.table(cfg.contacts), ["HS_OBJECT_ID"]), cfg.contacts).rows
-        append_table(mark_processed(spark.table(cfg.ledger), fresh.select("file_name").distinct(), as_of), cfg.ledger)
-        totals = counts(spark.table(cfg.contacts), {"UNMAPPED": F.col("ROSTER_SYSTEM").isNull()}).first()
         names = ", ".join(sorted(p.rsplit("/", 1)[-1] for p in paths))
-        return (
-            f"NEW: Files={len(paths)} | JSON={delta.count()} | Inserted={inserted} | "
-            f"Updated={updated} | Unmapped={totals.UNMAPPED}",
-            names,
-        )
+        with staging(spark) as stage:
+            return _store(spark, cfg, as_of, paths, fresh, stage), names
 
     return audited(spark, cfg.log, "contacts_ingest", as_of, job, "NEW")
 
 
+def _store(
+    spark: SparkSession,
+    cfg: ContactsConfig,
+    as_of: datetime,
+    paths: list[str],
+    fresh: DataFrame,
+    stage: Callable[[DataFrame, str], DataFrame],
+) -> str:
+    fields = schemas.CONTACT_TEXT_FIELDS, schemas.CONTACT_TIME_FIELDS
+    raw = read_json_array(spark, paths, json_schema(*fields), multi_line=cfg.whole_file_arrays)
+    delta = stage(project_json(raw, *fields), "delta")
+    systems = company_systems(spark.table(cfg.companies), cfg.names)
+    mapped = stage(
+        map_to_system(one_per_contact(delta), systems)
+        .withColumn("SENT_TIMESTAMP", schemas.null_of("timestamp_ntz"))
+        .withColumn("CREATED_AT", ntz(as_of.replace(tzinfo=None)))
+        .withColumn(LOAD_MONTH, F.lit(month_of(as_of))),
+        "mapped",
+    )
+    contacts = spark.table(cfg.contacts)
+    completed = stage(
+        retry_unmapped(contacts, systems, compact_key("OFFICE_LOCATION"), "OFFICE_KEY")
+        .select("HS_OBJECT_ID", "ROSTER_SYSTEM", LOAD_MONTH)
+        .unionByName(_newly_mapped(contacts, mapped)),
+        "completed",
+    )
+    updated = completed.select("HS_OBJECT_ID", LOAD_MONTH).distinct().count()
+    source = completed.drop(LOAD_MONTH)
+    waiting = F.col("ROSTER_SYSTEM").isNull()
+    change_table(spark, cfg.contacts, completed, lambda old: update_from(old, source, "HS_OBJECT_ID", ["ROSTER_SYSTEM"], waiting))
+    inserted = append_table(new_rows(mapped, spark.table(cfg.contacts), ["HS_OBJECT_ID"]), cfg.contacts).rows
+    append_table(mark_processed(spark.table(cfg.ledger), fresh.select("file_name").distinct(), as_of), cfg.ledger)
+    totals = counts(spark.table(cfg.contacts), {"UNMAPPED": waiting}).first()
+    return (
+        f"NEW: Files={len(paths)} | JSON={delta.count()} | Inserted={inserted} | "
+        f"Updated={updated} | Unmapped={totals.UNMAPPED}"
+    )
+
+
 def _newly_mapped(contacts: DataFrame, mapped: DataFrame) -> DataFrame:
     """Unmapped contacts that a new file delivers again, now with a system."""
     waiting = contacts.filter(F.col("ROSTER_SYSTEM").isNull()).select("HS_OBJECT_ID", LOAD_MONTH)
@@ -181,6 +191,11 @@ def _newly_mapped(contacts: DataFrame, mapped: DataFrame) -> DataFrame:
     ).select("HS_OBJECT_ID", "ROSTER_SYSTEM", LOAD_MONTH)
 
 
+def load_status_map(spark: SparkSession, cfg: ContactsConfig, path: str) -> LoadResult:
+    """Load the small status mapping from its CSV file."""
+    return replace_table(read_typed_csv(spark, path, schemas.STATUS_MAP), cfg.status_map)
+
+
 def send_csv(spark: SparkSession, cfg: ContactsConfig, as_of: datetime) -> str:
     """Unsent contacts of the file system: one CSV batch, then stamped."""
     name = f"Contacts_New_{file_stamp(as_of)}.csv"

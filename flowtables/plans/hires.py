@@ -19,7 +19,7 @@ from flowtables.operators.merge import merge_upsert
 from flowtables.operators.windows import keep_latest, latest_first
 from flowtables.plans.outbox import flush
 from flowtables.plans.rules import HiresConfig
-from flowtables.session import staged
+from flowtables.session import staging
 from flowtables.sinks.exports import export_csv
 from flowtables.sinks.tables import append_outbound, append_table, audited, change_table, ensure_table, rewrite_if_nonempty
 
@@ -106,11 +106,12 @@ def process(spark: SparkSession, cfg: HiresConfig, as_of: datetime) -> str:
         rewrite_if_nonempty(unique_hires(spark.table(cfg.source)), cfg.source)
 
         target = spark.table(cfg.target)
-        delta = staged(hire_delta(spark.table(cfg.source), spark.table(cfg.tracking), target), "hires")
-        changes = staged(_with_month(upsert_set(delta, target, spark.table(cfg.roster), as_of)), "upserts")
-        totals = delta.agg(F.count("*").alias("n"), F.max("DATE_IN_STATUS_3_TS").alias("latest")).first()
-        new, retried = totals.n, changes.count() - totals.n
-        change_table(spark, cfg.target, changes, lambda rows: merge_hires(rows, changes))
+        with staging(spark) as stage:
+            delta = stage(hire_delta(spark.table(cfg.source), spark.table(cfg.tracking), target), "hires")
+            changes = stage(_with_month(upsert_set(delta, target, spark.table(cfg.roster), as_of)), "upserts")
+            totals = delta.agg(F.count("*").alias("n"), F.max("DATE_IN_STATUS_3_TS").alias("latest")).first()
+            new, retried = totals.n, changes.count() - totals.n
+            change_table(spark, cfg.target, changes, lambda rows: merge_hires(rows, changes))
         if new:
             append_table(_tracking_row(spark, ntz(totals.latest), "SUCCESS", new, as_of), cfg.tracking)
         if retried > 0:

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from flowtables.operators.merge import mark_sent
-from flowtables.session import staged
+from flowtables.session import staging
 from flowtables.sinks.tables import change_table
 
 
@@ -28,11 +28,12 @@ def flush(
     stamped.  A crash after the write and before the stamp sends the batch again under the
     same file name.
     """
-    batch = staged(choose(spark.table(table)), "outbox")
-    count = batch.count()
-    if not count:
-        return f"{label}: Pending=0", None
-    path = write(batch)
-    change_table(spark, table, batch, lambda rows: mark_sent(rows, batch, keys, stamp, stamp_col))
+    with staging(spark) as stage:
+        batch = stage(choose(spark.table(table)), "outbox")
+        count = batch.count()
+        if not count:
+            return f"{label}: Pending=0", None
+        path = write(batch)
+        change_table(spark, table, batch, lambda rows: mark_sent(rows, batch, keys, stamp, stamp_col))
     place = f" in {path.rsplit('/', 1)[-1]}" if path else ""
     return f"{label}: Pending={count} | Sent={count}{place}", path

@@ -25,7 +25,11 @@ from flowtables.sinks.tables import LoadResult, change_table, done, ensure_table
 from flowtables.sources.files import read_typed_csv
 from flowtables.sources.tables import load_all, snapshot_period, status_line, union_periods
 
-LINE_DETAIL_KEYS = ("branchid", "branchname", "effective", "jobtypename", "manualinvoice", "workgroupid", "vat", "split")
+HEADER_COLUMNS = ("branchid", "branchname", "jobtypename", "manualinvoice", "workgroupid", "vat", "split")
+LINE_DETAIL_COLUMNS = """
+    ROSTER_SYSTEM BRANCHID BRANCHNAME INVOICE_YEAR INVOICE_MONTH CATEGORY_OF_CARE FUNDER_TYPE INVOICEID
+    MANUALINVOICE WORKGROUPID DISCOUNTPERCENT VAT SPLIT TYPE TOT_AMT_BILLING TOT_CNT_HOURS
+""".split()
 SUMMARY_KEYS = ("ROSTER_SYSTEM", "BRANCHID", "INVOICE_YEAR", "INVOICE_MONTH", "CATEGORY_OF_CARE", "FUNDER_TYPE")
 LINE_DETAIL = schemas.struct_of("""
     ROSTER_SYSTEM string
@@ -72,32 +76,34 @@ def line_detail(
     amount_type: str = WHOLE_UNITS,
 ) -> DataFrame:
     """Latest header of each invoice joined to its live, billed items, summed per item group."""
-    header_cols = [c for c in LINE_DETAIL_KEYS if c != "effective"]
-    dated = headers.select("invoiceid", *header_cols, F.coalesce("updated", "created").alias("effective"))
+    dated = headers.select("invoiceid", *HEADER_COLUMNS, F.coalesce("updated", "created").alias("effective"))
     latest = keep_latest(dated.filter(F.col("invoiceid").isNotNull()), ["invoiceid"], [latest_first("effective")])
-    billed = items.filter(F.col("type").isin(*BILLED_TYPES) & F.col("deleted").isNull())
-    joined = detail_aggregate(
-        latest, billed, "invoiceid", list(LINE_DETAIL_KEYS), ["jobtypegroupname", "discountpercent", "type"],
-        {"TOT_AMT_BILLING": "billing", "TOT_CNT_HOURS": "invoicehrs"}, amount_type,
-    )
-    return joined.select(
-        F.lit(system).alias("ROSTER_SYSTEM"),
+    # Names and dates are worked out per header, before its lines multiply them.
+    described = latest.select(
+        F.col("invoiceid").alias("INVOICEID"),
         F.col("branchid").alias("BRANCHID"),
         clean_name("branchname", names.strip_patterns, names.drop_words).alias("BRANCHNAME"),
         F.year("effective").alias("INVOICE_YEAR"),
         F.month("effective").alias("INVOICE_MONTH"),
-        F.col("jobtypegroupname").alias("CATEGORY_OF_CARE"),
         F.col("jobtypename").alias("FUNDER_TYPE"),
-        F.col("invoiceid").alias("INVOICEID"),
         F.col("manualinvoice").alias("MANUALINVOICE"),
         F.col("workgroupid").alias("WORKGROUPID"),
-        F.col("discountpercent").alias("DISCOUNTPERCENT"),
         F.col("vat").cast(WHOLE_UNITS).alias("VAT"),
         F.col("split").cast(WHOLE_UNITS).alias("SPLIT"),
+    )
+    billed = items.filter(F.col("type").isin(*BILLED_TYPES) & F.col("deleted").isNull()).select(
+        F.col("invoiceid").alias("INVOICEID"),
+        F.col("jobtypegroupname").alias("CATEGORY_OF_CARE"),
+        F.col("discountpercent").alias("DISCOUNTPERCENT"),
         F.col("type").alias("TYPE"),
-        "TOT_AMT_BILLING",
-        "TOT_CNT_HOURS",
+        "billing",
+        "invoicehrs",
+    )
+    joined = detail_aggregate(
+        described, billed, "INVOICEID", ["CATEGORY_OF_CARE", "DISCOUNTPERCENT", "TYPE"],
+        {"TOT_AMT_BILLING": "billing", "TOT_CNT_HOURS": "invoicehrs"}, amount_type,
     )
+    return joined.withColumn("ROSTER_SYSTEM", F.lit(system)).select(*LINE_DETAIL_COLUMNS)
 
 
 def line_summary(detail: DataFrame, amount_type: str = WHOLE_UNITS) -> DataFrame:

@@ -242,6 +242,10 @@ AUDIT_LOG = struct_of("""
     PROCESSED_FILES string
     STATUS string
 """)
+STATUS_MAP = struct_of("""
+    SOURCE_STATUS string
+    TARGET_STATUS string
+""")
 FILE_LEDGER = struct_of("""
     file_name string
     processed_at timestamp_ntz

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,13 +20,22 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Added away from a local master, where the number of shuffle partitions has to follow the
+# data: many small ones to begin with, merged by adaptive execution to the advisory size.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def build_session(app: str = "flowtables", master: str | None = None, **conf: str) -> SparkSession:
     """Return a session with the recommended settings; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in RECOMMENDED_CONF.items():
+    local = master is not None and master.startswith("local")
+    for key, value in {**RECOMMENDED_CONF, **({} if local else CLUSTER_CONF)}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -61,3 +72,25 @@ def staged(df: DataFrame, label: str = "stage", path: str | None = None) -> Data
     path = path or scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever storage it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Stage frames for the length of a job: ``stage(df, label)``; all copies go at its end."""
+    root = scratch_path(spark, "job")
+    made = []
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        made.append(f"{root}/{len(made)}-{label}")
+        return staged(df, path=made[-1])
+
+    try:
+        yield stage
+    finally:
+        remove_path(spark, root)

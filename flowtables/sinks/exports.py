@@ -87,15 +87,6 @@ def array_lines(objects: DataFrame, col: str = "line") -> DataFrame:
     return ordered.select(F.concat(opening, F.col(col)).alias(col))
 
 
-def collect_objects(df: DataFrame, keys: list[str], cols: list[str], out: str = "OBJECTS") -> DataFrame:
-    """Array of objects per key as JSON text, NULL keys left out; for small groups.
-
-    A whole table as one array is the job of ``export_json_array``, which does not gather it.
-    """
-    rows = F.array_sort(F.collect_list(F.to_json(F.struct(*cols))))
-    return df.groupBy(*keys).agg(F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]")).alias(out))
-
-
 def _place(spark: SparkSession, staging: str, target: str) -> str:
     """Move the one part file of ``staging`` to ``target``, replacing an earlier try."""
     jvm = spark._jvm

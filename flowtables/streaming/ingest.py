@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flowtables.operators.delta import hash_delta
-from flowtables.session import scratch_path
+from flowtables.session import remove_path, scratch_path
 from flowtables.sinks.tables import append_table, ensure_table
 from flowtables.sources.files import keep_blank, landing_options, text_schema
 
@@ -79,7 +79,10 @@ def for_new_files(
     def staged_work(batch: DataFrame, number: int) -> None:
         path = scratch_path(spark, "arrived")
         batch.write.parquet(path)
-        work(spark.read.schema(batch.schema).parquet(path), number)
+        try:
+            work(spark.read.schema(batch.schema).parquet(path), number)
+        finally:
+            remove_path(spark, path)
 
     query = (
         files_stream(spark, folder, schema)

@@ -115,11 +115,6 @@ def test_json_export_is_one_array_without_null_keys(spark, folder):
     assert json.load(open(empty.path)) == []
 
 
-def test_collect_objects(spark):
-    df = spark.createDataFrame([("k", 2, "b"), ("k", 1, None)], "k string, id int, n string")
-    assert json.loads(exports.collect_objects(df, ["k"], ["id", "n"]).first().OBJECTS) == [{"id": 1}, {"id": 2, "n": "b"}]
-
-
 # ------------------------------------------------------------------ tables
 
 
@@ -247,6 +242,15 @@ def test_workspace_is_the_folder_of_the_session(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
 
+def test_staging_leaves_nothing_behind(spark):
+    with session.staging(spark) as stage:
+        copy = stage(spark.range(3), "x")
+        assert copy.count() == 3
+        folder = copy.inputFiles()[0].removeprefix("file:").rsplit("/", 2)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_staged_rows_do_not_change(spark, db):
     tables.replace_table(spark.range(3).toDF("id"), "t")
     copy = session.staged(spark.table("t"))

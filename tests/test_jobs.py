@@ -249,7 +249,8 @@ def test_acks_survive_the_new_year(spark, contact_cfg):
 def test_updates_from_files(spark, contact_cfg):
     cfg = contact_cfg
     replace_table(spark.createDataFrame([("7", "p7")], "ID string, PORTAL_ID string"), cfg.contacts)
-    replace_table(spark.createDataFrame([("Paused", "On hold")], "SOURCE_STATUS string, TARGET_STATUS string"), cfg.status_map)
+    write_csv(f"{cfg.outbox}/map.csv", schemas.STATUS_MAP, [dict(SOURCE_STATUS="Paused", TARGET_STATUS="On hold")])
+    assert contacts.load_status_map(spark, cfg, f"{cfg.outbox}/map.csv").rows == 1
     one = dict(HS_OBJECT_ID="7", CUSTOMER_STATUS="Archived", CUSTOMER_STATUS_2="Paused", CITY="")
     write_csv(f"{cfg.updates_inbox}/a.csv", schemas.STATUS_UPDATE, [one, one, dict(one, HS_OBJECT_ID=""), dict(one, HS_OBJECT_ID="8", CUSTOMER_STATUS_2="Other")])
     message = contacts.updates_from_files(spark, cfg, datetime(2024, 1, 10, 9))

@@ -306,8 +306,8 @@ def test_variance(spark, previous, pct, tail):
 def test_small_aggregates(spark):
     df = spark.createDataFrame([("b", 2), ("a", 1), ("a", 1)], "n string, v int")
     assert aggregates.joined_names(df, "n").first().NAMES == "a, b"
-    assert tuple(aggregates.extremes(df, "v").first()) == (2, 4)
-    assert tuple(aggregates.extremes(df.limit(0), "v").first()) == (None, 0)
     assert tuple(aggregates.counts(df, {"ONES": F.col("v") == 1}).first()) == (3, 2)
+    assert tuple(aggregates.counts(df, {}, value="v").first()) == (3, 2, 4)
+    assert tuple(aggregates.counts(df.limit(0), {}, value="v").first()) == (0, None, 0)
     assert [r.n for r in aggregates.most_recent(df, [F.col("v").desc()], 1).collect()] == ["b"]
     assert [tuple(r) for r in aggregates.profile(df, ["n"], {"S": "v"}, ["n"]).collect()] == [("a", 2, 2), ("b", 1, 2)]
