@@ -265,6 +265,14 @@ def null_of(dtype: T.DataType | str) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def cast_text(value: str, field: T.StructField) -> str:
+    """SQL text casting ``value`` to the type and name of a field.
+
+    Wide files have 72 columns; a list of texts builds such a projection in one call.
+    """
+    return f"CAST({value} AS {field.dataType.simpleString()}) AS `{field.name}`"
+
+
 def conform(df: DataFrame, schema: T.StructType, positional: bool = False) -> DataFrame:
     """Cast ``df`` to ``schema`` by name, or by position when ``positional``.
 
@@ -274,15 +282,10 @@ def conform(df: DataFrame, schema: T.StructType, positional: bool = False) -> Da
         if len(df.columns) != len(schema):
             raise ValueError(f"expected {len(schema)} columns, found {len(df.columns)}")
         df = df.toDF(*schema.names)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*[cast_text(f"`{f.name}`", f) for f in schema])
 
 
 def pad_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` to ``schema``; columns it lacks become typed NULLs."""
     have = {name.lower() for name in df.columns}
-    return df.select(
-        *[
-            (F.col(f.name).cast(f.dataType) if f.name.lower() in have else null_of(f.dataType)).alias(f.name)
-            for f in schema
-        ]
-    )
+    return df.selectExpr(*[cast_text(f"`{f.name}`" if f.name.lower() in have else "NULL", f) for f in schema])

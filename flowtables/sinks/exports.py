@@ -42,7 +42,7 @@ def export_csv(
     limit: int = SINGLE_FILE_BYTES,
 ) -> Export:
     """Header, every field quoted, NULL as an explicit token so that it differs from ``''``."""
-    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    texts = df.selectExpr(*[f"CAST(`{c}` AS string) AS `{c}`" for c in df.columns])
     options = {**_CSV, "nullValue": null_value}
     if not _fits_one_file(texts, single_file, limit):
         texts.write.mode("overwrite").options(**options).csv(f"{folder}/{name}")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 from pyspark.sql import types as T
 
 from flowtables.functions.dates import local_time, ntz
-from flowtables.schemas import AUDIT_LOG, null_of
+from flowtables.schemas import AUDIT_LOG, cast_text
 
 _STAGING = "__staging"
 
@@ -84,13 +84,12 @@ def in_table_order(df: DataFrame, name: str) -> DataFrame:
     """Columns by name in the order of the table, cast to its types; absent ones are NULL."""
     have = {f.name.lower(): f.dataType for f in df.schema}
 
-    def fitted(field: T.StructField) -> Column | str:
+    def fitted(field: T.StructField) -> str:
         dtype = have.get(field.name.lower())
-        if dtype is None:
-            return null_of(field.dataType).alias(field.name)
-        return field.name if dtype == field.dataType else F.col(field.name).cast(field.dataType).alias(field.name)
+        name = f"`{field.name}`"
+        return name if dtype == field.dataType else cast_text("NULL" if dtype is None else name, field)
 
-    return df.select(*[fitted(f) for f in df.sparkSession.table(name).schema])
+    return df.selectExpr(*[fitted(f) for f in df.sparkSession.table(name).schema])
 
 
 def append_table(df: DataFrame, name: str) -> LoadResult:

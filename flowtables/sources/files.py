@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from flowtables.functions.dates import safe_timestamp
 from flowtables.functions.text import blank_if_null, last_part
-from flowtables.schemas import conform
+from flowtables.schemas import cast_text
 
 # Texts that stand for NULL in an invoice file.
 NULL_TOKENS = ("", "NULL", "null")
@@ -45,9 +45,13 @@ def read_typed_csv(
         .option("multiLine", multi_line)
         .csv(path)
     )
-    tokens = list(null_tokens)
-    cleaned = raw.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(*tokens), F.trim(F.col(f"`{c}`"))).alias(c) for c in raw.columns])
-    return conform(cleaned, schema)
+    tokens = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in null_tokens)
+
+    def resolved(name: str) -> str:
+        text = f"trim(`{name}`)"
+        return f"CASE WHEN {text} NOT IN ({tokens}) THEN {text} END"
+
+    return raw.selectExpr(*[cast_text(resolved(f.name) if tokens else f"trim(`{f.name}`)", f) for f in schema])
 
 
 def keep_blank(df: DataFrame) -> DataFrame:
