@@ -32,6 +32,10 @@ from flowtables.streaming.ingest import for_new_files
 # recent rows rewrites recent months only.
 LOAD_MONTH = "LOAD_MONTH"
 
+# What tells sent rows from unsent ones. Several rows may lack an id, so the columns that
+# choose a batch belong to the key: a row of another system is never stamped with it.
+SENT_KEYS = ["HS_OBJECT_ID", "CREATED_AT", "ROSTER_SYSTEM", "CONTACT_TYPE"]
+
 # Columns of the exported contact file and of the outbound table, in order.
 CSV_FIELDS = """
     hs_object_id firstname lastname salutation customer_status customer_status_2
@@ -79,6 +83,17 @@ def map_to_system(contacts: DataFrame, systems: DataFrame) -> DataFrame:
     )
 
 
+def complete_systems(contacts: DataFrame, systems: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Contacts without a system get the one of their office, else of their new delivery.
+
+    A blank id says nothing about who a contact is, so it never finds a delivery.
+    """
+    own = map_to_system(contacts.withColumnRenamed("ROSTER_SYSTEM", "__stored"), systems)
+    mapped = own.withColumn("ROSTER_SYSTEM", F.coalesce("__stored", "ROSTER_SYSTEM")).select(*contacts.columns)
+    known = delivered.filter(is_filled("HS_OBJECT_ID")).select("HS_OBJECT_ID", "ROSTER_SYSTEM")
+    return update_from(mapped, known, "HS_OBJECT_ID", ["ROSTER_SYSTEM"], F.col("ROSTER_SYSTEM").isNull())
+
+
 def contact_csv(rows: DataFrame) -> DataFrame:
     fixed: dict[str, Column] = {"customer_status": F.lit("Active")}
     return rows.select(*[fixed.get(c, F.col(c)).cast("string").alias(c) for c in CSV_FIELDS])
@@ -125,7 +140,10 @@ def update_objects(updates: DataFrame, contacts: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, cfg: ContactsConfig, as_of: datetime) -> str:
-    """Load new contact files, map them to systems, complete earlier rows, insert new ones."""
+    """Load new contact files, map them to systems, complete earlier rows, insert new ones.
+
+    An id that is stored already is not inserted again; that includes the blank id.
+    """
 
     def job() -> tuple[str, str | None]:
         ensure_table(spark, cfg.ledger, schemas.FILE_LEDGER)
@@ -163,16 +181,16 @@ def _store(
         "mapped",
     )
     contacts = spark.table(cfg.contacts)
+    # The months in which a waiting row can be completed; only those are rewritten.
     completed = stage(
-        retry_unmapped(contacts, systems, compact_key("OFFICE_LOCATION"), "OFFICE_KEY")
-        .select("HS_OBJECT_ID", "ROSTER_SYSTEM", LOAD_MONTH)
-        .unionByName(_newly_mapped(contacts, mapped)),
-        "completed",
+        retry_unmapped(contacts, systems, compact_key("OFFICE_LOCATION"), "OFFICE_KEY").select(LOAD_MONTH)
+        .unionByName(_newly_mapped(contacts, mapped)).distinct(),
+        "months",
     )
-    updated = completed.select("HS_OBJECT_ID", LOAD_MONTH).distinct().count()
-    source = completed.drop(LOAD_MONTH)
     waiting = F.col("ROSTER_SYSTEM").isNull()
-    change_table(spark, cfg.contacts, completed, lambda old: update_from(old, source, "HS_OBJECT_ID", ["ROSTER_SYSTEM"], waiting))
+    before = contacts.filter(waiting).count()
+    change_table(spark, cfg.contacts, completed, lambda old: complete_systems(old, systems, mapped))
+    updated = before - spark.table(cfg.contacts).filter(waiting).count()
     inserted = append_table(new_rows(mapped, spark.table(cfg.contacts), ["HS_OBJECT_ID"]), cfg.contacts).rows
     append_table(mark_processed(spark.table(cfg.ledger), fresh.select("file_name").distinct(), as_of), cfg.ledger)
     totals = counts(spark.table(cfg.contacts), {"UNMAPPED": waiting}).first()
@@ -183,12 +201,11 @@ def _store(
 
 
 def _newly_mapped(contacts: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Unmapped contacts that a new file delivers again, now with a system."""
-    waiting = contacts.filter(F.col("ROSTER_SYSTEM").isNull()).select("HS_OBJECT_ID", LOAD_MONTH)
+    """Months of the unmapped contacts that a new file delivers again, now with a system."""
+    waiting = contacts.filter(F.col("ROSTER_SYSTEM").isNull() & is_filled("HS_OBJECT_ID")).select("HS_OBJECT_ID", LOAD_MONTH)
     known = mapped.filter(F.col("ROSTER_SYSTEM").isNotNull()).select(F.col("HS_OBJECT_ID"), "ROSTER_SYSTEM")
-    return enrich(waiting, known, ("HS_OBJECT_ID", "HS_OBJECT_ID"), ["ROSTER_SYSTEM"]).filter(
-        F.col("ROSTER_SYSTEM").isNotNull()
-    ).select("HS_OBJECT_ID", "ROSTER_SYSTEM", LOAD_MONTH)
+    found = enrich(waiting, known, ("HS_OBJECT_ID", "HS_OBJECT_ID"), ["ROSTER_SYSTEM"])
+    return found.filter(F.col("ROSTER_SYSTEM").isNotNull()).select(LOAD_MONTH)
 
 
 def load_status_map(spark: SparkSession, cfg: ContactsConfig, path: str) -> LoadResult:
@@ -205,7 +222,7 @@ def send_csv(spark: SparkSession, cfg: ContactsConfig, as_of: datetime) -> str:
             spark, cfg.contacts,
             lambda rows: pending(rows, cfg.file_system, SENT_CONTACT_TYPES),
             lambda batch: export_csv(contact_csv(batch), cfg.outbox, name).path,
-            ["HS_OBJECT_ID", "CREATED_AT"], local_time(as_of), "NEW to file",
+            SENT_KEYS, local_time(as_of), "NEW to file",
         ),
         "NEW to file",
     )
@@ -223,7 +240,7 @@ def send_table(spark: SparkSession, cfg: ContactsConfig, as_of: datetime) -> str
         lambda: flush(
             spark, cfg.contacts,
             lambda rows: pending(rows, cfg.table_system, SENT_CONTACT_TYPES),
-            write, ["HS_OBJECT_ID", "CREATED_AT"], stamp, "NEW to table",
+            write, SENT_KEYS, stamp, "NEW to table",
         ),
         "NEW to table",
     )

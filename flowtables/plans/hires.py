@@ -137,7 +137,7 @@ def send_csv(spark: SparkSession, cfg: HiresConfig, as_of: datetime) -> str:
         lambda: flush(
             spark, cfg.target, lambda rows: pending(rows, cfg.file_system),
             lambda batch: export_csv(sent_columns(batch), cfg.outbox, name).path,
-            MERGE_KEYS, local_time(as_of), "HIRES to file",
+            [*MERGE_KEYS, "ROSTER_SYSTEM"], local_time(as_of), "HIRES to file",
         ),
         "HIRES to file",
     )
@@ -152,6 +152,8 @@ def send_table(spark: SparkSession, cfg: HiresConfig, as_of: datetime) -> str:
 
     return audited(
         spark, cfg.log, "hires_send_table", as_of,
-        lambda: flush(spark, cfg.target, lambda rows: pending(rows, cfg.table_system), write, MERGE_KEYS, stamp, "HIRES to table"),
+        lambda: flush(
+            spark, cfg.target, lambda rows: pending(rows, cfg.table_system), write, [*MERGE_KEYS, "ROSTER_SYSTEM"], stamp, "HIRES to table"
+        ),
         "HIRES to table",
     )

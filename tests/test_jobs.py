@@ -217,7 +217,7 @@ def test_contact_ingest(spark, contact_cfg):
 
 def test_contacts_are_sent_exactly_once(spark, contact_cfg):
     cfg, as_of = contact_cfg, datetime(2024, 6, 10, 9, 55)
-    drop_contacts(cfg, "contacts_1.json", [person("1", "North & South"), person("2", "East", date_of_birth="5/1/1950"), dict(person("3", "East"), contact_type="Lead")])
+    drop_contacts(cfg, "contacts_1.json", [person("1", "North & South"), person("2", "East", date_of_birth="5/1/1950"), dict(person("3", "East"), contact_type="Lead"), person("", "East"), person("", "Later")])
     contacts.ingest(spark, cfg, as_of)
     outbound = schemas.struct_of(
         "\n".join(f"{c} {'date' if c == 'DATE_OF_BIRTH' else 'string'}" for c in contacts.OUTBOUND_FIELDS)
@@ -229,11 +229,14 @@ def test_contacts_are_sent_exactly_once(spark, contact_cfg):
         lines = list(csv.DictReader(f))
     assert [(r["hs_object_id"], r["customer_status"]) for r in lines] == [("1", "Active")]
     assert list(lines[0]) == contacts.CSV_FIELDS
-    assert "Sent=1" in contacts.send_table(spark, cfg, as_of)
+    # Rows without an id: sending one system stamps neither the other system nor the unmapped row.
+    assert spark.table(cfg.contacts).filter("HS_OBJECT_ID = '' and SENT_TIMESTAMP is null").count() == 2
+    assert "Sent=2" in contacts.send_table(spark, cfg, as_of)
+    assert spark.table(cfg.contacts).filter("HS_OBJECT_ID = '' and SENT_TIMESTAMP is null and ROSTER_SYSTEM is null").count() == 1
     assert contacts.send_csv(spark, cfg, as_of).endswith("Pending=0") and contacts.send_table(spark, cfg, as_of).endswith("Pending=0")
-    sent = spark.table(cfg.outbound).collect()
+    sent = spark.table(cfg.outbound).filter("HS_OBJECT_ID <> ''").collect()
     assert [(r.HS_OBJECT_ID, r.DATE_OF_BIRTH, r.PROCESSED_TIMESTAMP) for r in sent] == [("2", date(1950, 1, 5), as_of)]
-    stamps = {r.HS_OBJECT_ID: r.SENT_TIMESTAMP for r in spark.table(cfg.contacts).collect()}
+    stamps = {r.HS_OBJECT_ID: r.SENT_TIMESTAMP for r in spark.table(cfg.contacts).filter("HS_OBJECT_ID <> ''").collect()}
     assert stamps == {"1": datetime(2024, 6, 10, 10, 55), "2": as_of, "3": None}
 
 
