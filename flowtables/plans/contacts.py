@@ -25,7 +25,7 @@ from flowtables.plans.rules import (
 from flowtables.session import staging
 from flowtables.sinks.exports import export_csv, export_json_array
 from flowtables.sinks.tables import LoadResult, append_outbound, append_table, audited, change_table, ensure_table, replace_table
-from flowtables.sources.files import json_schema, list_files, paths_of, project_json, read_json_array, read_typed_csv
+from flowtables.sources.files import json_schema, list_files, paths_of, project_json, read_json_array, read_typed_csv, unreadable_json
 from flowtables.streaming.ingest import for_new_files
 
 # Mutable tables are partitioned by the month a row came in, so that stamping or completing
@@ -170,7 +170,9 @@ def _store(
     stage: Callable[[DataFrame, str], DataFrame],
 ) -> str:
     fields = schemas.CONTACT_TEXT_FIELDS, schemas.CONTACT_TIME_FIELDS
-    raw = read_json_array(spark, paths, json_schema(*fields), multi_line=cfg.whole_file_arrays)
+    schema = json_schema(*fields)
+    raw = read_json_array(spark, paths, schema, multi_line=cfg.whole_file_arrays)
+    broken = [r.file_name for r in unreadable_json(spark, paths, schema, cfg.whole_file_arrays).collect()]
     delta = stage(project_json(raw, *fields), "delta")
     systems = company_systems(spark.table(cfg.companies), cfg.names)
     mapped = stage(
@@ -194,10 +196,11 @@ def _store(
     inserted = append_table(new_rows(mapped, spark.table(cfg.contacts), ["HS_OBJECT_ID"]), cfg.contacts).rows
     append_table(mark_processed(spark.table(cfg.ledger), fresh.select("file_name").distinct(), as_of), cfg.ledger)
     totals = counts(spark.table(cfg.contacts), {"UNMAPPED": waiting}).first()
-    return (
+    message = (
         f"NEW: Files={len(paths)} | JSON={delta.count()} | Inserted={inserted} | "
         f"Updated={updated} | Unmapped={totals.UNMAPPED}"
     )
+    return message + (f" | Unreadable={', '.join(sorted(broken))}" if broken else "")
 
 
 def _newly_mapped(contacts: DataFrame, mapped: DataFrame) -> DataFrame:

@@ -42,6 +42,9 @@ def build_session(app: str = "flowtables", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def workspace(spark: SparkSession) -> str:
     """Shared folder for staged data: the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -52,9 +55,10 @@ def workspace(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="flowtables-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="flowtables-")
+    return _LOCAL_FOLDERS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -118,11 +118,13 @@ def _salvaged(schema: T.StructType) -> Column:
     return F.from_json(F.col(_CORRUPT), T.ArrayType(schema))
 
 
-def unreadable_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+def unreadable_json(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
     """Names of the files that ``read_json_array`` skips."""
     # Spark refuses a query on the corrupt-record column alone, so one more is read with it.
     bad = F.col(_CORRUPT).isNotNull() & F.col(f"`{schema.names[0]}`").isNull() & _salvaged(schema).isNull()
-    return _json(spark, paths, schema).filter(bad).select(F.col("_metadata.file_name").alias("file_name")).distinct()
+    return _json(spark, paths, schema, multi_line).filter(bad).select(F.col("_metadata.file_name").alias("file_name")).distinct()
 
 
 def _json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = True) -> DataFrame:

@@ -242,6 +242,22 @@ def test_workspace_is_the_folder_of_the_session(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
 
+def test_workspace_of_a_cluster_must_be_named():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Fake:
+        conf = Conf()
+
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+
+    assert os.path.isdir(session.workspace(Fake("local[2]"))) and session.workspace(Fake("local[2]")) == session.workspace(Fake("local[2]"))
+    with pytest.raises(ValueError):
+        session.workspace(Fake("yarn"))
+
+
 def test_staging_leaves_nothing_behind(spark):
     with session.staging(spark) as stage:
         copy = stage(spark.range(3), "x")

@@ -198,7 +198,7 @@ def test_contact_ingest(spark, contact_cfg):
     drop_contacts(cfg, "contacts_4.json", '[{"hs_object_id": "9"')
     drop_contacts(cfg, "ignored.json", [person("8", "East")])
     message = contacts.ingest(spark, cfg, as_of)
-    assert message == "NEW: Files=4 | JSON=6 | Inserted=5 | Updated=0 | Unmapped=1"
+    assert message == "NEW: Files=4 | JSON=6 | Inserted=5 | Updated=0 | Unmapped=1 | Unreadable=contacts_4.json"
     rows = {r.HS_OBJECT_ID: r for r in spark.table(cfg.contacts).collect()}
     # Delivered twice in one batch: stored once, as modified last. Rows without an id all stay.
     assert rows["1"].ROSTER_SYSTEM == "TABLE" and rows["3"].PHONE == "" and rows["2"].ROSTER_SYSTEM is None
