@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import os
+
+from pyspark.sql import functions as F
+
 from flowtables.harness.registry import Query, table
-from flowtables.llm import exact_dedup as exact
+from flowtables.llm import exact_dedup as exact, packing, token_codes
+from flowtables.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+#: Folder of the public tokenizer files; by default where their Python package keeps them.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS")
+
+
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer file, the same on every machine of the cluster."""
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def query(name: str, sql: str | None = None):
     """Register a query; without ``sql`` it is tested against brute force in tests/llm."""
@@ -30,3 +47,16 @@ FROM d JOIN g USING (text)
 def op5_exact_dedup(spark, sf_dir):
     snapshot, incoming = exact.halves(table(spark, sf_dir, "documents"))
     return exact.exact_dedup(snapshot, incoming).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op6_packing")
+def op6_packing(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer(), length=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op10_token_codes")
+def op10_token_codes(spark, sf_dir):
+    path = scratch_path(spark, "token-codes")
+    token_codes.write_codes(table(spark, sf_dir, "documents"), path, tokenizer(), end_id=2)
+    return token_codes.read_codes(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
