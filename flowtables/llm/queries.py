@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from flowtables.harness.registry import Query, table
-from flowtables.llm import exact_dedup as exact, packing, token_codes
+from flowtables.llm import decontamination, exact_dedup as exact, packing, token_codes
 from flowtables.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
@@ -55,6 +55,30 @@ def op6_packing(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query("op9_decontamination", r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item_id, w, least(10, len(w)) AS n FROM bw WHERE len(w) > 0),
+bi AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM bl),
+items AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS phrase FROM bi),
+di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, (SELECT DISTINCT n FROM bl) WHERE len(w) >= n),
+windows AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS phrase FROM di),
+found AS (SELECT doc_id, i, n, item_id FROM windows JOIN items USING (n, phrase)),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS at FROM (SELECT DISTINCT doc_id, i, n FROM found)),
+hits AS (SELECT doc_id, count(*) AS n_hit FROM covered GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, cast(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op9_decontamination(spark, sf_dir):
+    judged = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 @query("op10_token_codes")
 def op10_token_codes(spark, sf_dir):
     path = scratch_path(spark, "token-codes")
