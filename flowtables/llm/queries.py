@@ -43,11 +43,11 @@ WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 p AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100),
 w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM p),
 m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
-c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS at FROM w JOIN m USING (s) WHERE doc_id > least),
-n AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE at - 1 IS DISTINCT FROM before) AS n_spans
-      FROM (SELECT doc_id, at, lag(at) OVER (PARTITION BY doc_id ORDER BY at) AS before FROM c) GROUP BY doc_id),
-b AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS at FROM d),
-k AS (SELECT doc_id, string_agg(substr(h, 2 * at + 1, 2), '' ORDER BY at) AS h FROM b ANTI JOIN c USING (doc_id, at) GROUP BY doc_id)
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM w JOIN m USING (s) WHERE doc_id > least),
+n AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE pos - 1 IS DISTINCT FROM before) AS n_spans
+      FROM (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM c) GROUP BY doc_id),
+b AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS pos FROM d),
+k AS (SELECT doc_id, string_agg(substr(h, 2 * pos + 1, 2), '' ORDER BY pos) AS h FROM b ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id)
 SELECT doc_id, cast(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
