@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from flowtables.harness.registry import Query, table
-from flowtables.llm import decontamination, exact_dedup as exact, packing, suffix_dedup, token_codes
+from flowtables.llm import decontamination, exact_dedup as exact, packing, substring_dedup, suffix_dedup, token_codes
 from flowtables.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
@@ -59,6 +59,25 @@ def op1_suffix_dedup(spark, sf_dir):
     )
 
 
+@query("op3_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+s AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') AS s FROM p),
+m AS (SELECT s, min(doc_id) AS least FROM s GROUP BY s),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM s JOIN m USING (s) WHERE doc_id > least),
+n AS (SELECT doc_id, count(*) AS n_removed FROM c GROUP BY doc_id),
+b AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS kept FROM b ANTI JOIN c USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+""")
+def op3_substring_dedup(spark, sf_dir):
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return substring_dedup.repeated_windows(table(spark, sf_dir, "documents"), length=50).select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op5_exact_dedup", """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
