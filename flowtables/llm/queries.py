@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from flowtables.harness.registry import Query, table
-from flowtables.llm import decontamination, exact_dedup as exact, near_dedup, packing, substring_dedup, suffix_dedup, token_codes
+from flowtables.llm import decontamination, exact_dedup as exact, near_dedup, packing, substring_dedup, suffix_dedup, token_codes, toxicity
 from flowtables.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
@@ -78,6 +78,12 @@ def op3_substring_dedup(spark, sf_dir):
     )
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op5_exact_dedup", """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
