@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from flowtables.harness.registry import Query, table
-from flowtables.llm import decontamination, exact_dedup as exact, near_dedup, packing, substring_dedup, suffix_dedup, token_codes, toxicity
+from flowtables.llm import decontamination, exact_dedup as exact, near_dedup, packing, substring_dedup, suffix_dedup, token_codes, toxicity, url_filter
 from flowtables.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
@@ -59,6 +59,15 @@ def op1_suffix_dedup(spark, sf_dir):
     )
 
 
+# The rules of the contract as verdict, host and path.
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+@query("op2_url_filter")
+def op2_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op3_substring_dedup", r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
