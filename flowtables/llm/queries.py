@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from flowtables.harness.registry import Query, table
-from flowtables.llm import decontamination, exact_dedup as exact, near_dedup, packing, substring_dedup, suffix_dedup, token_codes, toxicity, url_filter
+from flowtables.llm import decontamination, exact_dedup as exact, license_scan, near_dedup, packing, substring_dedup, suffix_dedup, token_codes, toxicity, url_filter
 from flowtables.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
@@ -115,6 +115,13 @@ def op7_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, size=5)
 
 
+@query("op8_license_scan")
+def op8_license_scan(spark, sf_dir):
+    """One row per match, and one without a license for each document that has none."""
+    found = license_scan.license_matches(table(spark, sf_dir, "documents"), license_scan.NOTICES, containment=0.8)
+    return found.select("doc_id", F.explode_outer("matches").alias("m")).select("doc_id", "m.license", "m.start", "m.stop", "m.containment")
+
+
 @query("op9_decontamination", r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
