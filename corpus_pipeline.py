@@ -1,9 +1,66 @@
-"""The corpus pipeline: placeholder until its stages are in place."""
+"""The corpus pipeline: toxic documents, copies, near copies and benchmark passages go, the rest is packed.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir), works on all documents its predecessor kept, and
+calls one operator of ``flowtables.llm``. All but the last return the columns of documents.
+Rows that share an id stay or go together in the near-duplicate and the benchmark stage; all
+stages keep rows with a null id by the same rules. Empty inputs give empty outputs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from flowtables.llm import decontamination, exact_dedup, near_dedup, packing, queries, toxicity
+from flowtables.session import scratch_path
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal regression, fitted on their labels, doesn't reject."""
+    return toxicity.without_toxic(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id."""
+    snapshot, incoming = exact_dedup.halves(docs)
+    kept = exact_dedup.exact_dedup(snapshot, incoming).where("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256").distinct()
+    mine = (docs["doc_id"].eqNullSafe(kept["kept_id"])) & (F.sha2(F.coalesce(docs["text"], F.lit("")), 256) == kept["text_sha256"])
+    return docs.join(kept, mine, "left_semi")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, that with the smallest id."""
+    kept = near_dedup.near_duplicates(docs, threshold=0.8, size=5).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of ten words of a benchmark item."""
+    judged = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"), window=10)
+    hit = judged.where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 tokens."""
+    pieces = packing.pack(docs, queries.tokenizer(), length=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("decontamination", drop_contaminated), ("packing", pack)]
+
+#: A fitted model and MinHash classes have no SQL; tests/llm compares every stage with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply all stages to the documents."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; each one's rows are written and read back by the next."""
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

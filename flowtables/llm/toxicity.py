@@ -168,6 +168,20 @@ def severity(docs: DataFrame, model: SeverityModel | None, id_col: str = "doc_id
     rows = id_text(docs, id_col, text_col)
     if model is None:
         return rows.select("doc_id", F.lit(None).cast("double").alias("severity"), F.lit(None).cast("double").alias("toxic_chance"), F.lit(False).alias("toxic"))
+    scored = rows.select("doc_id", scorer(model)("text").alias("s"))
+    return scored.select("doc_id", "s.severity", "s.toxic_chance", (F.col("s.toxic_chance") > (model.reject if reject is None else reject)).alias("toxic"))
+
+
+def without_toxic(docs: DataFrame, model: SeverityModel | None, text_col: str = "text", reject: float | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text isn't toxic by ``severity``."""
+    if model is None:
+        return docs
+    chance = scorer(model)(F.coalesce(F.col(text_col), F.lit("")))["toxic_chance"]
+    return docs.where(chance <= (model.reject if reject is None else reject))
+
+
+def scorer(model: SeverityModel):
+    """A function of a text column: (severity, toxic_chance)."""
 
     @F.pandas_udf("struct<severity double, toxic_chance double>")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -187,4 +201,4 @@ def severity(docs: DataFrame, model: SeverityModel | None, id_col: str = "doc_id
             chances = model.grade_chances(scores)
             yield pd.DataFrame({"severity": np.where(empty, 0.0, chances @ np.arange(GRADES)), "toxic_chance": np.where(empty, 0.0, 1 - chances[:, 0])})
 
-    return rows.select("doc_id", score("text").alias("s")).select("doc_id", "s.severity", "s.toxic_chance", (F.col("s.toxic_chance") > (model.reject if reject is None else reject)).alias("toxic"))
+    return score
