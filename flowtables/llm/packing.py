@@ -28,7 +28,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(tokenizer)
         part, at = TaskContext.get().partitionId(), 0
-        narrow = len(encoder.ends) <= 1 << 16
+        narrow = encoder.size <= 1 << 16
         tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids, local, counts = [], [], []

@@ -9,109 +9,79 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Words a worker remembers; the cache starts anew beyond that (about 100 MB).
-CACHE_WORDS = 400_000
-#: Bytes of text that are split into words at a time.
+#: Words a worker remembers; the cache starts anew beyond that (some 200 MB).
+CACHE_WORDS = 600_000
+#: Bytes of a text that are split into words at a time.
 SLICE = 1 << 20
 
 # Words made of these characters alone are cut into runs of letters, single digits and runs of
-# signs exactly as the tokenizer cuts them; all other words go to it whole.
+# signs exactly as the tokenizer cuts them, and go straight to its merges; all other words go to
+# the whole tokenizer.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f'[{_LETTERS}]+|[0-9]|[.,;:!?*&%$#()"]+')
 _ALL_PLAIN = re.compile(f'[{_LETTERS}0-9.,;:!?*&%$#()"]+')
 _LOADED: dict[str, WordTokenizer] = {}
 
 
-class WordTokenizer:
-    """A tokenizer file whose pre-tokenizer drops white space and marks word ends with ``</w>``."""
+def _byte_characters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class WordTokenizer(dict):
+    """A byte-level tokenizer file that lower-cases and whose pre-tokenizer drops white space.
+
+    As a dictionary it maps words, as UTF-8, to their ids in bytes, and learns missing ones.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        self.packed = [i.to_bytes(4, "little") for i in range(self.size)]
+        self.characters = _byte_characters()
         self.parts: dict[str, bytes] = {}
 
-    def _whole(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-
-    def _runs(self, runs: list[str]) -> list[bytes]:
-        """Ids of runs of letters: encoded as one text and cut after each word end."""
-        out = []
-        for at in range(0, len(runs), 1000):
-            some = runs[at : at + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(some) or cuts[-1] != len(ids):
-                out += self._whole(some)
-            else:
-                data, edges = ids.tobytes(), [0, *(4 * cuts).tolist()]
-                out += [data[a:b] for a, b in zip(edges, edges[1:])]
-        return out
-
-    def _learn(self, missing: list[bytes]) -> None:
-        plain, odd = {}, []
-        for word in missing:
-            text = word.decode()
-            if _ALL_PLAIN.fullmatch(text):
-                plain[word] = _PLAIN.findall(text.lower())
-            else:
-                odd.append((word, text))
-        for (word, _), ids in zip(odd, self._whole([t for _, t in odd])):
-            self.words[word] = ids
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        new = list({p for parts in plain.values() for p in parts if p not in self.parts})
-        runs = [p for p in new if p[0].isalpha()]
-        others = [p for p in new if not p[0].isalpha()]
-        self.parts.update(zip(runs, self._runs(runs)))
-        self.parts.update(zip(others, self._whole(others)))
-        get = self.parts.__getitem__
-        for word, parts in plain.items():
-            self.words[word] = b"".join(map(get, parts))
-
-    def _ids(self, data: bytes) -> bytes:
-        words = data.split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-            self._learn(list({w for w in words if w not in self.words}))
-            return b"".join(map(self.words.__getitem__, words))
-
-    def encode(self, texts: Iterator[str]) -> Iterator[bytes]:
+    def _part(self, part: str) -> bytes:
+        """Ids of a run of letters, a digit or a run of signs, lower-cased."""
+        ids = self.parts.get(part)
+        if ids is None:
+            shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.characters)
+            packed = self.packed
+            ids = self.parts[part] = b"".join([packed[t.id] for t in self.merge(shown)])
+        return ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if text.isascii() and text.isalpha():
+            ids = self._part(text.lower())
+        elif _ALL_PLAIN.fullmatch(text):
+            ids = b"".join(map(self._part, _PLAIN.findall(text.lower())))
+        else:
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit values."""
-        held: list[bytes] = []
-        size = 0
         for text in texts:
-            held.append(text.encode())
-            size += len(held[-1])
-            if size > SLICE:
-                yield from self._encode(held)
-                held, size = [], 0
-        yield from self._encode(held)
-
-    def _encode(self, held: list[bytes]) -> Iterator[bytes]:
-        new = {w for data in held if len(data) <= SLICE for w in data.split() if w not in self.words}
-        if new:
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-                new = {w for data in held if len(data) <= SLICE for w in data.split()}
-            self._learn(list(new))
-        for data in held:
-            if len(data) <= SLICE:
-                yield self._ids(data)
-            else:
-                yield b"".join(map(self._ids, _slices(data)))
+            yield b"".join(map(self._ids, _slices(text.encode())))
+
+    def _ids(self, data: bytes) -> bytes:
+        for cache in (self, self.parts):
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
+        return b"".join(map(self.__getitem__, data.split()))
 
 
 def _slices(data: bytes) -> Iterator[bytes]:
