@@ -65,8 +65,12 @@ def adjusted_amount(amount: ColumnLike, split: ColumnLike, discount: ColumnLike)
 
 def gross_up(amount: ColumnLike, vat: ColumnLike, exempt: int = 99) -> Column:
     """Amount with VAT added; NULL and the exempt code add nothing. Rounded to cents."""
+    return F.round(with_vat(amount, vat, exempt), 2)
+
+
+def with_vat(amount: ColumnLike, vat: ColumnLike, exempt: int = 99) -> Column:
+    """The same before rounding, for amounts that are summed first."""
     vat = as_col(vat).cast("decimal(5,0)")
     factor = F.lit(1).cast("decimal(3,0)") + vat * F.lit(_HUNDREDTH)
     exact = as_col(amount).cast("decimal(27,6)")
-    grossed = F.when(vat.isNotNull() & (vat != exempt), exact * factor).otherwise(exact)
-    return F.round(grossed, 2)
+    return F.when(vat.isNotNull() & (vat != exempt), exact * factor).otherwise(exact)

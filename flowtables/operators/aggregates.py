@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowtables.functions.dates import in_period, month_text, shift_month
 from flowtables.functions.text import ColumnLike
-from flowtables.functions.values import adjusted_amount, gross_up, split_amount
+from flowtables.functions.values import adjusted_amount, split_amount, with_vat
 
 # Totals are stored in whole units unless asked otherwise.
 WHOLE_UNITS = "decimal(38,0)"
@@ -44,12 +44,12 @@ def summarise_billing(
 ) -> DataFrame:
     """Invoiced amounts, expenses and hours per group.
 
-    Split and discount apply per line, VAT once per group at the highest rate found there.
+    Split and discount apply per line, VAT once per group at the highest code found there.
     Amounts are rounded to cents and then stored as ``amount_type``.
 
     ``name`` is a text that belongs to a group but may be spelled in several ways; the
-    largest spelling is kept.  The lines are summed per spelling first, which is a hash
-    aggregation starting in the map tasks, and the few spellings of a group after that.
+    largest spelling is kept.  Each spelling takes the highest code of its own lines: amounts
+    are summed and grossed up per spelling, and the few spellings of a group are added then.
     """
     expense = F.col("TYPE") == "expense"
     zero = F.lit(0).cast("decimal(27,6)")
@@ -62,16 +62,14 @@ def summarise_billing(
         F.sum("TOT_CNT_HOURS").alias("__hours"),
         F.max("VAT").alias("__vat"),
     )
+    groups = groups.withColumns({c: with_vat(c, "__vat") for c in ("__billed", "__spent")})
     if name:
-        groups = groups.groupBy(*keys).agg(
-            F.max(name).alias(name), F.max("__vat").alias("__vat"),
-            *[F.sum(c).alias(c) for c in ("__billed", "__spent", "__hours")],
-        )
+        groups = groups.groupBy(*keys).agg(F.max(name).alias(name), *[F.sum(c).alias(c) for c in ("__billed", "__spent", "__hours")])
     return groups.select(
         *keys,
         *spellings,
-        gross_up("__billed", "__vat").cast(amount_type).alias("TOT_AMT_INVOICED"),
-        gross_up("__spent", "__vat").cast(amount_type).alias("TOT_AMT_EXPENSES"),
+        F.round("__billed", 2).cast(amount_type).alias("TOT_AMT_INVOICED"),
+        F.round("__spent", 2).cast(amount_type).alias("TOT_AMT_EXPENSES"),
         F.round("__hours", 2).cast(amount_type).alias("TOT_CNT_HOURS"),
     )
 

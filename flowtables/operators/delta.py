@@ -30,12 +30,23 @@ def after_watermark(
     """Rows beyond the watermark, which is a literal and so reaches the scan.
 
     With ``loaded`` and ``keys``, rows sharing the watermark instant are taken as well
-    unless they are loaded already: a late row at the maximum is not lost.
+    unless they are loaded already: a late row at the maximum is not lost.  Keys compare with
+    NULL equal to NULL, so a row without a key is taken once and not again in every run.
     """
     if loaded is None:
         return df.filter(F.col(stamp) > ntz(watermark))
     at_mark = loaded.filter(F.col(stamp) == ntz(watermark))
-    return new_rows(df.filter(F.col(stamp) >= ntz(watermark)), at_mark, [*keys, stamp])
+    fresh, names = _null_safe(df.filter(F.col(stamp) >= ntz(watermark)), [*keys, stamp])
+    known, _ = _null_safe(at_mark, [*keys, stamp])
+    return new_rows(fresh, known, names).select(*df.columns)
+
+
+def _null_safe(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Key columns without NULL: for each key its text, and whether it is missing."""
+    added = {}
+    for i, key in enumerate(keys):
+        added[f"__key{i}"], added[f"__gap{i}"] = F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(key).isNull()
+    return df.withColumns(added), list(added)
 
 
 def tracked_delta(

@@ -24,9 +24,10 @@ from flowtables.sinks.exports import export_csv
 from flowtables.sinks.tables import append_outbound, append_table, audited, change_table, ensure_table, rewrite_if_nonempty
 
 # The target is partitioned by the month of the status date, which is part of the merge
-# key: a match or an insert always falls in the partition of its own date.
+# key: a match or an insert always falls in the partition of its own date.  Two people may share
+# name and minute, so the title belongs to the key; a missing part equals a missing part.
 STATUS_MONTH = "STATUS_MONTH"
-MERGE_KEYS = ["CANDIDATE_PROTECTED_NAME_FIRST", "CANDIDATE_PROTECTED_NAME_LAST", "DATE_IN_STATUS_3"]
+MERGE_KEYS = ["CANDIDATE_NAME_TITLE", "CANDIDATE_PROTECTED_NAME_FIRST", "CANDIDATE_PROTECTED_NAME_LAST", "DATE_IN_STATUS_3"]
 
 # Columns of the exported file and of the outbound table, in order.
 SENT_FIELDS = {
@@ -54,8 +55,7 @@ SENT_FIELDS = {
 
 def unique_hires(hired: DataFrame) -> DataFrame:
     """One row per person and status date, preferring one with an e-mail address."""
-    keys = ["DATE_IN_STATUS_3", "CANDIDATE_NAME_TITLE", *MERGE_KEYS[:2]]
-    return keep_latest(hired, keys, [latest_first(blank_if_null("CANDIDATE_PROTECTED_EMAIL"))])
+    return keep_latest(hired, MERGE_KEYS, [latest_first(blank_if_null("CANDIDATE_PROTECTED_EMAIL"))])
 
 
 def hire_delta(hired: DataFrame, tracking: DataFrame, target: DataFrame | None = None) -> DataFrame:
@@ -72,19 +72,25 @@ def roster_of(rows: DataFrame, roster: DataFrame) -> DataFrame:
     )
 
 
-def upsert_set(delta: DataFrame, target: DataFrame, roster: DataFrame, as_of: datetime) -> DataFrame:
-    """New hires and earlier unmapped ones that the roster now knows, one row per merge key."""
-    new = roster_of(delta, roster).withColumn("SENT_TIMESTAMP", schemas.null_of("timestamp_ntz"))
-    retried = retry_unmapped(
+def retried_hires(target: DataFrame, roster: DataFrame) -> DataFrame:
+    """Earlier unmapped hires that the roster now knows."""
+    return retry_unmapped(
         target.select(*schemas.HIRED_TARGET.names), roster, plain_key("HIERARCHY_NAME"), plain_key("COMPANY_NAME")
     ).drop("PROCESSED_TIMESTAMP")
+
+
+def upsert_set(delta: DataFrame, retried: DataFrame, roster: DataFrame, as_of: datetime) -> DataFrame:
+    """New and retried hires, one row per merge key."""
+    new = roster_of(delta, roster).withColumn("SENT_TIMESTAMP", schemas.null_of("timestamp_ntz"))
     both = append_by_name(new.select(*retried.columns), retried)
     stamped = both.withColumn("PROCESSED_TIMESTAMP", ntz(as_of.replace(tzinfo=None)))
-    return keep_latest(stamped, MERGE_KEYS, [F.col("ROSTER_SYSTEM").asc_nulls_last()], keep_null_keys=True)
+    keyed = stamped.withColumns({f"__key{i}": blank_if_null(k) for i, k in enumerate(MERGE_KEYS)})
+    names = [f"__key{i}" for i in range(len(MERGE_KEYS))]
+    return keep_latest(keyed, names, [F.col("ROSTER_SYSTEM").asc_nulls_last()]).drop(*names)
 
 
 def merge_hires(target: DataFrame, changes: DataFrame) -> DataFrame:
-    return merge_upsert(target, changes, MERGE_KEYS, ["ROSTER_SYSTEM", "PROCESSED_TIMESTAMP"])
+    return merge_upsert(target, changes, MERGE_KEYS, ["ROSTER_SYSTEM", "PROCESSED_TIMESTAMP"], blank_null=MERGE_KEYS)
 
 
 def sent_columns(rows: DataFrame) -> DataFrame:
@@ -108,9 +114,10 @@ def process(spark: SparkSession, cfg: HiresConfig, as_of: datetime) -> str:
         target = spark.table(cfg.target)
         with staging(spark) as stage:
             delta = stage(hire_delta(spark.table(cfg.source), spark.table(cfg.tracking), target), "hires")
-            changes = stage(_with_month(upsert_set(delta, target, spark.table(cfg.roster), as_of)), "upserts")
+            again = stage(retried_hires(target, spark.table(cfg.roster)), "retries")
+            changes = stage(_with_month(upsert_set(delta, again, spark.table(cfg.roster), as_of)), "upserts")
             totals = delta.agg(F.count("*").alias("n"), F.max("DATE_IN_STATUS_3_TS").alias("latest")).first()
-            new, retried = totals.n, changes.count() - totals.n
+            new, retried = totals.n, again.count()
             change_table(spark, cfg.target, changes, lambda rows: merge_hires(rows, changes))
         if new:
             append_table(_tracking_row(spark, ntz(totals.latest), "SUCCESS", new, as_of), cfg.tracking)

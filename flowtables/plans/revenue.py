@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from flowtables import schemas
 from flowtables.functions.dates import closed_months_only, filter_period, month_start, month_text, period_key, shift_month
@@ -21,6 +20,7 @@ from flowtables.operators.joins import lookup_by_key
 from flowtables.operators.merge import merge_upsert
 from flowtables.operators.windows import keep_latest, keep_latest_per_month, latest_first, movement
 from flowtables.plans.rules import BILLED_TYPES, EXCLUDED_MANUAL_CODE, REPORT_COMPANIES, NameRules, RevenueConfig
+from flowtables.session import staging
 from flowtables.sinks.tables import LoadResult, change_table, done, ensure_table, replace_period, replace_table
 from flowtables.sources.files import read_typed_csv
 from flowtables.sources.tables import load_all, snapshot_period, status_line, union_periods
@@ -272,39 +272,66 @@ def load_shared(spark: SparkSession, cfg: RevenueConfig, as_of: date) -> str:
     return status_line(load_all(loads))
 
 
+def _months_of_load(stored: DataFrame, period: str) -> set[date]:
+    """Months in which invoices of one load have rows, in any load: few values."""
+    invoices = stored.filter(F.col("LOAD_PERIOD") == period).select("INVOICEID").distinct()
+    months = stored.join(invoices, "INVOICEID", "left_semi").select("INVOICE_YEAR", "INVOICE_MONTH").distinct()
+    return {date(r.INVOICE_YEAR, r.INVOICE_MONTH, 1) for r in months.collect() if r.INVOICE_YEAR and r.INVOICE_MONTH}
+
+
+def latest_delivery(stored: DataFrame) -> DataFrame:
+    """Detail rows of the last load that holds their invoice."""
+    last = stored.groupBy("INVOICEID").agg(F.max("LOAD_PERIOD").alias("LOAD_PERIOD"))
+    return stored.join(last, ["INVOICEID", "LOAD_PERIOD"], "left_semi")
+
+
 def refine_lines(spark: SparkSession, cfg: RevenueConfig, region: str, month: date, merge: bool = False) -> str:
-    """Detail and summary of one region and month.
+    """Detail of one region and load, and the summaries of all months that the load touches.
 
-    The summary of the month is complete, so it replaces its partition: no join with the
-    old summary, and groups that vanished from the detail vanish here too.  ``merge``
-    keeps such groups by upserting instead.
+    The detail keeps every row of the file under its load period, whatever month its invoice
+    is dated in, so no row is lost and a rerun replaces exactly its own rows.  A month's
+    summary is built from all loads, each invoice by its last delivery.  It is complete, so it
+    replaces its partition, and groups that vanished from the detail vanish here too.
+    ``merge`` keeps such groups by upserting instead.
     """
     month = month_start(month)
     label = next(r.label for r in cfg.regions if r.code == region)
     period = f"{month.year}_{month.month:02d}"
     here = (F.col("region") == region) & (F.col("period") == period)
-    parts = ["ROSTER_SYSTEM", "INVOICE_YEAR", "INVOICE_MONTH"]
-    in_month = {"ROSTER_SYSTEM": label, "INVOICE_YEAR": month.year, "INVOICE_MONTH": month.month}
-    ensure_table(spark, cfg.line_detail, LINE_DETAIL, parts)
-    ensure_table(spark, cfg.line_summary, LINE_SUMMARY, parts)
+    load = {"ROSTER_SYSTEM": label, "LOAD_PERIOD": period}
+    wide = schemas.T.StructType([*LINE_DETAIL.fields, *schemas.struct_of("LOAD_PERIOD string").fields])
+    ensure_table(spark, cfg.line_detail, wide, list(load))
+    ensure_table(spark, cfg.line_summary, LINE_SUMMARY, ["ROSTER_SYSTEM", "INVOICE_YEAR", "INVOICE_MONTH"])
 
+    def stored() -> DataFrame:
+        return spark.table(cfg.line_detail).filter(F.col("ROSTER_SYSTEM") == label)
+
+    touched = {month} | _months_of_load(stored(), period)
     detail = line_detail(
         spark.table(cfg.header_table).filter(here), spark.table(cfg.item_table).filter(here), label, cfg.names, cfg.amount_type
     )
-    replace_period(detail, cfg.line_detail, in_month)
-    stored = filter_period(spark.table(cfg.line_detail), month).filter(F.col("ROSTER_SYSTEM") == label)
-    summary = line_summary(stored, cfg.amount_type)
-    if merge:
-        keys = ["BRANCHID", "CATEGORY_OF_CARE", "FUNDER_TYPE"]
-        amounts = ["BRANCHNAME", "TOT_AMT_INVOICED", "TOT_AMT_EXPENSES", "TOT_CNT_HOURS"]
-        result = change_table(
-            spark, cfg.line_summary, summary,
-            lambda old: merge_upsert(old, summary, keys, amounts, blank_null=["CATEGORY_OF_CARE", "FUNDER_TYPE"]),
-        )
-    else:
-        result = replace_period(summary, cfg.line_summary, in_month)
+    replace_period(detail.withColumn("LOAD_PERIOD", F.lit(period)), cfg.line_detail, load)
+    touched |= _months_of_load(stored(), period)
+    current, rows = latest_delivery(stored()), 0
+    with staging(spark) as stage:
+        for day in sorted(touched):
+            summary = stage(line_summary(filter_period(current, day), cfg.amount_type), "summary")
+            if merge:
+                rows += _merge_summary(spark, cfg, summary).rows
+            else:
+                in_month = {"ROSTER_SYSTEM": label, "INVOICE_YEAR": day.year, "INVOICE_MONTH": day.month}
+                rows += replace_period(summary, cfg.line_summary, in_month).rows
     system_rows = spark.table(cfg.line_summary).filter(F.col("ROSTER_SYSTEM") == label)
-    return f"SUCCESS: {label} {period} ({result.rows} rows) | {_variance_text(system_rows, month)}"
+    return f"SUCCESS: {label} {period} ({rows} rows) | {_variance_text(system_rows, month)}"
+
+
+def _merge_summary(spark: SparkSession, cfg: RevenueConfig, summary: DataFrame) -> LoadResult:
+    keys = ["BRANCHID", "CATEGORY_OF_CARE", "FUNDER_TYPE"]
+    amounts = ["BRANCHNAME", "TOT_AMT_INVOICED", "TOT_AMT_EXPENSES", "TOT_CNT_HOURS"]
+    return change_table(
+        spark, cfg.line_summary, summary,
+        lambda old: merge_upsert(old, summary, keys, amounts, blank_null=["CATEGORY_OF_CARE", "FUNDER_TYPE"]),
+    )
 
 
 def refine_snapshots(spark: SparkSession, cfg: RevenueConfig, as_of: date) -> str:
@@ -338,14 +365,10 @@ def conform(spark: SparkSession, cfg: RevenueConfig, as_of: date) -> str:
 
 def semantic(spark: SparkSession, cfg: RevenueConfig, as_of: date) -> str:
     """Report rows and exception rows: together, exactly the closed months."""
-    master = report_master(
-        spark.table(cfg.revenue), spark.table(cfg.companies), as_of, cfg.names, cfg.excluded_name
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with staging(spark) as stage:  # on shared storage, so that a lost executor costs nothing
+        master = stage(report_master(spark.table(cfg.revenue), spark.table(cfg.companies), as_of, cfg.names, cfg.excluded_name), "master")
         matched, missing = report_and_exceptions(master)
         good, bad = replace_table(matched, cfg.report), replace_table(missing, cfg.exceptions)
-    finally:
-        master.unpersist()
     return f"SUCCESS: report ({good.rows} rows) | exceptions ({bad.rows} rows)"
 
 

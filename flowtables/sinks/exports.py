@@ -1,7 +1,7 @@
 """CSV and JSON files for other parties.
 
-A receiver that wants one file gets one only while the batch is small; a larger batch is
-written by all tasks as several files of the same name stem.  Nothing is left out.
+The layout is the caller's choice and never depends on the size of the batch: one file, written
+by one task, or a folder of parts, written by all tasks.  Nothing is left out in either.
 """
 
 from __future__ import annotations
@@ -10,10 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowtables.operators.joins import measured_bytes
 from flowtables.session import scratch_path
 
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
 _CSV = {"header": "true", "quoteAll": "true", "quote": '"', "escape": '"', "emptyValue": "", "compression": "none"}
 
 
@@ -25,26 +23,17 @@ class Export:
     single: bool
 
 
-def _fits_one_file(df: DataFrame, single_file: bool | None, limit: int) -> bool:
-    if single_file is None:
-        return measured_bytes(df) <= limit
-    if single_file and measured_bytes(df) > limit:
-        raise ValueError(f"batch is larger than {limit} bytes; export it as parts")
-    return single_file
-
-
 def export_csv(
     df: DataFrame,
     folder: str,
     name: str,
-    single_file: bool | None = None,
+    single_file: bool = True,
     null_value: str = "\\N",
-    limit: int = SINGLE_FILE_BYTES,
 ) -> Export:
     """Header, every field quoted, NULL as an explicit token so that it differs from ``''``."""
     texts = df.selectExpr(*[f"CAST(`{c}` AS string) AS `{c}`" for c in df.columns])
     options = {**_CSV, "nullValue": null_value}
-    if not _fits_one_file(texts, single_file, limit):
+    if not single_file:
         texts.write.mode("overwrite").options(**options).csv(f"{folder}/{name}")
         return Export(f"{folder}/{name}", False)
     staging = scratch_path(df.sparkSession, "export")
@@ -56,12 +45,11 @@ def export_json_array(
     df: DataFrame,
     folder: str,
     name: str,
-    single_file: bool | None = None,
-    limit: int = SINGLE_FILE_BYTES,
+    single_file: bool = True,
 ) -> Export:
-    """One array of objects, keys with NULL left out; or JSON Lines parts for a large batch."""
+    """One array of objects, keys with NULL left out; without ``single_file`` JSON Lines parts."""
     objects = df.select(F.to_json(F.struct(*df.columns)).alias("line"))
-    if not _fits_one_file(df, single_file, limit):
+    if not single_file:
         objects.write.mode("overwrite").text(f"{folder}/{name}")
         return Export(f"{folder}/{name}", False)
     spark = df.sparkSession

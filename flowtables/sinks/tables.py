@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -176,10 +177,11 @@ def replace_period(df: DataFrame, name: str, period: Mapping[str, object]) -> Lo
     inside = reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in period.items()])
     rows = in_table_order(df.filter(inside), name).drop(*period)
     counted, count = count_rows(rows)
-    counted.createOrReplaceTempView("__period_rows")
+    view = f"__period_rows_{uuid.uuid4().hex}"  # loads may run side by side
+    counted.createOrReplaceTempView(view)
     spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in period.items())
-    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM __period_rows")
-    spark.catalog.dropTempView("__period_rows")
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
     return done(name, count())
 
 

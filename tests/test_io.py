@@ -97,14 +97,15 @@ def test_csv_export_tells_null_from_blank(spark, folder):
     assert len(open(again.path).read().splitlines()) == 2  # a retry replaces the same file
 
 
-def test_large_exports_become_parts_with_every_row(spark, folder):
+def test_layout_is_chosen_and_both_hold_every_row(spark, folder):
     df = spark.range(100).repartition(4).select("id", F.lit(None).cast("string").alias("n"))
-    out = exports.export_csv(df, folder, "big.csv", limit=10)
-    assert not out.single and spark.read.option("header", True).csv(out.path).count() == 100
-    lines = exports.export_json_array(df, folder, "big.json", limit=10)
-    assert not lines.single and spark.read.json(lines.path).count() == 100
-    with pytest.raises(ValueError):
-        exports.export_csv(df, folder, "one.csv", single_file=True, limit=10)
+    parts = exports.export_csv(df, folder, "parts.csv", single_file=False)
+    one = exports.export_csv(df, folder, "one.csv")
+    assert not parts.single and one.single and os.path.isdir(parts.path) and os.path.isfile(one.path)
+    assert all(spark.read.option("header", True).csv(x.path).count() == 100 for x in (parts, one))
+    lines, array = (exports.export_json_array(df, folder, f"{s}.json", single_file=s) for s in (False, True))
+    assert not lines.single and array.single and spark.read.json(lines.path).count() == 100
+    assert spark.read.option("multiLine", True).json(array.path).count() == 100
 
 
 def test_json_export_is_one_array_without_null_keys(spark, folder):

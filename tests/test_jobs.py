@@ -102,14 +102,16 @@ def test_revenue_month(spark, month):
     messages = revenue.run_month(spark, month, as_of)
     assert all("SUCCESS" in m for m in messages), messages
 
-    summary = {r.BRANCHID: r for r in spark.table(month.line_summary).collect()}
+    summary = {r.BRANCHID: r for r in spark.table(month.line_summary).filter("INVOICE_MONTH = 2").collect()}
     # Invoice 1: 150 less 10 percent; invoice 2: half of 200, the discount is out of range;
-    # VAT 20 on the whole group. Invoice 3 belongs to March, invoice 4 is excluded.
+    # VAT 20 on the first spelling alone. Invoice 3 is dated in March, invoice 4 is excluded.
     north = summary[10]
-    assert (north.TOT_AMT_INVOICED, north.TOT_AMT_EXPENSES, north.TOT_CNT_HOURS) == (282, 12, 8)
+    assert (north.TOT_AMT_INVOICED, north.TOT_AMT_EXPENSES, north.TOT_CNT_HOURS) == (262, 12, 8)
     assert north.BRANCHNAME == "Northern" and len(summary) == 3
     assert summary[11].TOT_AMT_INVOICED == 30
-    assert {(r.INVOICE_YEAR, r.INVOICE_MONTH) for r in spark.table(month.line_detail).collect()} == {(2026, 2)}
+    assert {(r.INVOICE_YEAR, r.INVOICE_MONTH, r.LOAD_PERIOD) for r in spark.table(month.line_detail).collect()} == {(2026, 2, "2026_02"), (2026, 3, "2026_02")}
+    march = spark.table(month.line_summary).filter("INVOICE_MONTH = 3").collect()
+    assert [(r.BRANCHID, r.TOT_AMT_INVOICED) for r in march] == [(10, 777)]
 
     moved = {(r.INV_NO, r.INVOICE_MONTH): r for r in spark.table(month.snapshot_detail).collect()}
     assert {k: int(r.TOT_AMT_INVOICED) for k, r in moved.items()} == {("s1", 1): 120, ("s1", 2): -30, ("s2", 2): 40}
@@ -119,19 +121,41 @@ def test_revenue_month(spark, month):
     assert (hours.TOT_CNT_CUSTOMERS, hours.TOT_CNT_VISITS, hours.TOT_CNT_HOURS) == (12, 12, 6)
 
     merged = spark.table(month.revenue)
-    # 1 legacy row before the cut-over + 3 line rows + 3 snapshot rows + 1 static row: the
+    # 1 legacy row before the cut-over + 4 line rows + 3 snapshot rows + 1 static row: the
     # company found under two spellings doubles none of them.
-    assert merged.count() == 8
+    assert merged.count() == 9
     assert {r.BRANCH_NAME_PBI for r in merged.filter("COMPANY_NAME = 'Northern'").collect()} == {"PBI North 2"}
 
     report, exceptions = spark.table(month.report), spark.table(month.exceptions)
-    assert report.count() + exceptions.count() == merged.filter("COMPANY_NAME not like 'Training%'").count() == 7
+    assert report.count() + exceptions.count() == merged.filter("COMPANY_NAME not like 'Training%' and INVOICE_MONTH <> 'Mar'").count() == 7
     north = report.filter("INVOICE_YEAR = 2026").first()
-    assert north.REPORT_NAME == "PBI North" and north.BD_REGION == "N" and north.TOT_AMT_INVOICED == 294
+    assert north.REPORT_NAME == "PBI North" and north.BD_REGION == "N" and north.TOT_AMT_INVOICED == 274
     assert {r.COMPANY_NAME for r in exceptions.collect()} == {"Unknown & Co", "East", "West"}
     assert "REPORT_NAME" not in exceptions.columns and "LOOKUP_OFFICE_NAME" not in report.columns
     total = sum(r.TOT_AMT_INVOICED for df in (report, exceptions) for r in df.collect())
-    assert total == 7 + 7 + 294 + 30 + 120 - 30 + 40
+    assert total == 7 + 7 + 274 + 30 + 120 - 30 + 40
+
+
+def test_invoices_dated_in_other_months_are_in_exactly_one(spark, month, folder):
+    """Two file months, each with invoices dated in the other; one invoice is sent in both."""
+    line = dict(branchid=20, branchname="Acme Care South", jobtypename="Private")
+    headers = [dict(invoiceid=20, created="2026-03-03 00:00:00", **line), dict(invoiceid=21, created="2026-02-20 00:00:00", **line), dict(invoiceid=3, created="2026-02-01 00:00:00", updated="2026-03-05 00:00:00", **line)]
+    items = [dict(id=30 + i, invoiceid=h["invoiceid"], type="timesheet", billing=f"{10 ** i}.00", invoicehrs="1", jobtypegroupname="Care") for i, h in enumerate(headers)]
+    write_csv(f"{folder}/land/A_header_2026_03.csv", schemas.INVOICE_HEADER, headers)
+    write_csv(f"{folder}/land/A_item_2026_03.csv", schemas.INVOICE_ITEM, items)
+    for as_of, day in ((date(2026, 3, 1), date(2026, 2, 1)), (date(2026, 4, 1), date(2026, 3, 1))):
+        revenue.load_files(spark, month, as_of)
+        revenue.refine_lines(spark, month, "A", day)
+
+    def totals():
+        return {(r.BRANCHID, r.INVOICE_MONTH): r.TOT_AMT_INVOICED for r in spark.table(month.line_summary).filter("BRANCHID in (10, 20)").collect()}
+
+    # Invoice 21 reaches February by the March file; invoice 3 counts as the March file has it.
+    want = {(10, 2): 262, (20, 3): 101, (20, 2): 10}
+    assert totals() == want
+    for day in (date(2026, 2, 1), date(2026, 3, 1)):
+        revenue.refine_lines(spark, month, "A", day)
+        assert totals() == want
 
 
 def test_revenue_rerun_changes_nothing(spark, month):
