@@ -194,7 +194,9 @@ def _store(
     change_table(spark, cfg.contacts, completed, lambda old: complete_systems(old, systems, mapped))
     updated = before - spark.table(cfg.contacts).filter(waiting).count()
     inserted = append_table(new_rows(mapped, spark.table(cfg.contacts), ["HS_OBJECT_ID"]), cfg.contacts).rows
-    append_table(mark_processed(spark.table(cfg.ledger), fresh.select("file_name").distinct(), as_of), cfg.ledger)
+    # A damaged file stays out of the ledger: its other contacts arrive once it is mended.
+    whole = fresh.select("file_name").filter(~F.col("file_name").isin(broken)).distinct()
+    append_table(mark_processed(spark.table(cfg.ledger), whole, as_of), cfg.ledger)
     totals = counts(spark.table(cfg.contacts), {"UNMAPPED": waiting}).first()
     message = (
         f"NEW: Files={len(paths)} | JSON={delta.count()} | Inserted={inserted} | "
@@ -273,7 +275,7 @@ def updates_from_files(spark: SparkSession, cfg: ContactsConfig, as_of: datetime
 
     def job() -> tuple[str, str | None]:
         ensure_table(spark, cfg.updates_files, with_month(schemas.UPDATES_FROM_FILES), [LOAD_MONTH])
-        seen = {"landed": 0, "valid": 0, "inserted": 0}
+        seen = {"landed": 0, "valid": 0, "inserted": 0, "rejected": 0}
 
         def work(landed: DataFrame, _: int) -> None:
             tally = counts(landed, {"VALID": is_filled("HS_OBJECT_ID")}).first()
@@ -284,9 +286,14 @@ def updates_from_files(spark: SparkSession, cfg: ContactsConfig, as_of: datetime
             seen["valid"] += tally.VALID
             seen["inserted"] += append_table(stamped, cfg.updates_files).rows
 
-        for_new_files(spark, cfg.updates_inbox, schemas.STATUS_UPDATE, cfg.updates_checkpoint, work)
+        def reject(lines: int) -> None:
+            seen["rejected"] += lines
+
+        for_new_files(spark, cfg.updates_inbox, schemas.STATUS_UPDATE, cfg.updates_checkpoint, work, reject)
         message, files = _send_updates(spark, cfg, cfg.updates_files, "SENT_TIMESTAMP", ["ROW_HASH"], as_of)
         head = f"STG={seen['landed']} (valid={seen['valid']}) | Inserted={seen['inserted']} | Dupes={seen['valid'] - seen['inserted']}"
+        if seen["rejected"]:
+            head += f" | Rejected={seen['rejected']}"
         return f"UPD from files: {head} | {message}", files
 
     return audited(spark, cfg.log, "contacts_updates_files", as_of, job, "UPD from files")

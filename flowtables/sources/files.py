@@ -14,6 +14,8 @@ from flowtables.schemas import cast_text
 # Texts that stand for NULL in an invoice file.
 NULL_TOKENS = ("", "NULL", "null")
 _CORRUPT = "__corrupt"
+# A complete object of plain values inside a text: braces, with quoted texts skipped over.
+_OBJECT = r'\{(?:[^{}"\\]++|"(?:[^"\\]++|\\.)*+")*+\}'
 
 
 def text_schema(schema: T.StructType) -> T.StructType:
@@ -67,10 +69,26 @@ def landing_options() -> dict[str, str]:
         "escape": '"',
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
-        "mode": "FAILFAST",
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _CORRUPT,
     }
 
 
+def landing_schema(schema: T.StructType) -> T.StructType:
+    """Text fields of a landing file, and the whole line of a row that does not fit them."""
+    return T.StructType([*text_schema(schema).fields, T.StructField(_CORRUPT, T.StringType())])
+
+
+def landed_rows(rows: DataFrame) -> DataFrame:
+    """Rows that fit, every field as read; the landing rule."""
+    return keep_blank(rows.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT))
+
+
+def rejected_lines(rows: DataFrame) -> DataFrame:
+    """Lines that don't fit, as ``line`` beside what was read of their fields."""
+    return rows.filter(F.col(_CORRUPT).isNotNull()).withColumnRenamed(_CORRUPT, "line")
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """Paths and base names under a folder, without reading file contents."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -96,8 +114,9 @@ def read_json_array(
 ) -> DataFrame:
     """One row per element of the outer array of each file.
 
-    Empty arrays and explicit nulls give no row; a file that cannot be parsed is skipped
-    (see ``unreadable_json``).  All files are one parallel read, one task per file.  Without
+    Empty arrays and explicit nulls give no row.  Of an array that breaks off or is damaged the
+    complete elements are taken, if they are objects of plain values; ``unreadable_json`` names
+    its file.  All files are one parallel read, one task per file.  Without
     ``multi_line`` every line is an array of its own and large files are split over tasks.
     """
     rows = _json(spark, paths, schema, multi_line)
@@ -111,19 +130,24 @@ def read_json_array(
 
 
 def _salvaged(schema: T.StructType) -> Column:
-    """Elements of a text the file reader gave up on; NULL when it is no JSON array.
+    """Elements of a text the file reader gave up on: as an array, or else the complete objects in it.
 
     The reader refuses an array that holds an explicit null; its other elements are good.
     """
+    objects = F.regexp_extract_all(F.col(_CORRUPT), F.lit(_OBJECT), F.lit(0))
+    return F.coalesce(_whole_array(schema), F.transform(objects, lambda text: F.from_json(text, schema)))
+
+
+def _whole_array(schema: T.StructType) -> Column:
     return F.from_json(F.col(_CORRUPT), T.ArrayType(schema))
 
 
 def unreadable_json(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
-    """Names of the files that ``read_json_array`` skips."""
+    """Names of the files of which ``read_json_array`` takes complete elements only."""
     # Spark refuses a query on the corrupt-record column alone, so one more is read with it.
-    bad = F.col(_CORRUPT).isNotNull() & F.col(f"`{schema.names[0]}`").isNull() & _salvaged(schema).isNull()
+    bad = F.col(_CORRUPT).isNotNull() & F.col(f"`{schema.names[0]}`").isNull() & _whole_array(schema).isNull()
     return _json(spark, paths, schema, multi_line).filter(bad).select(F.col("_metadata.file_name").alias("file_name")).distinct()
 
 

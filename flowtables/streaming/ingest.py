@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowtables.operators.delta import hash_delta
 from flowtables.session import remove_path, scratch_path
 from flowtables.sinks.tables import append_table, ensure_table
-from flowtables.sources.files import keep_blank, landing_options, text_schema
+from flowtables.sources.files import landed_rows, landing_options, landing_schema, rejected_lines, text_schema
 
 
 def files_stream(
@@ -28,13 +28,12 @@ def files_stream(
     """Stream of the rows of arriving files; CSV follows the landing rules."""
     reader = spark.readStream.format(source)
     if source == "csv":
-        reader = reader.schema(text_schema(schema)).options(**landing_options())
+        reader = reader.schema(landing_schema(schema)).options(**landing_options())
     else:
         reader = reader.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.load(folder)
-    return keep_blank(rows) if source == "csv" else rows
+    return reader.load(folder)
 
 
 def ingest_files_stream(
@@ -49,18 +48,26 @@ def ingest_files_stream(
     """Append arriving files to the folder ``target`` as parquet; returns when all are in.
 
     The file sink commits batches through its own log, so a batch that is tried again after
-    a lost executor or driver does not appear twice.
+    a lost executor or driver does not appear twice.  Lines of a CSV file that don't fit its
+    fields stop nothing: they go to the folder ``<target>_rejected`` in the same way.
     """
-    query = (
-        files_stream(spark, folder, schema, max_files, source)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", target)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+
+    def write(rows: DataFrame, suffix: str = "") -> StreamingQuery:
+        query = (
+            rows.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint + suffix)
+            .option("path", target + suffix)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return query
+
+    arrived = files_stream(spark, folder, schema, max_files, source)
+    if source != "csv":
+        return write(arrived)
+    write(rejected_lines(arrived), "_rejected")
+    return write(landed_rows(arrived))
 
 
 def for_new_files(
@@ -69,18 +76,27 @@ def for_new_files(
     schema: T.StructType,
     checkpoint: str,
     work: Callable[[DataFrame, int], None],
+    on_rejected: Callable[[int], None] = lambda lines: None,
 ) -> StreamingQuery:
     """Hand the rows of each batch of new files to ``work``; ``work`` must be idempotent.
 
     The batch is staged first: its files are parsed once however often ``work`` reads it,
-    and ``work`` runs in the caller's session, whose table listings it keeps current.
+    and ``work`` runs in the caller's session, whose table listings it keeps current.  Lines
+    that don't fit the fields are kept under ``<checkpoint>_rejected``, one folder per batch,
+    and ``on_rejected`` gets their number; the other rows go on.
     """
 
     def staged_work(batch: DataFrame, number: int) -> None:
         path = scratch_path(spark, "arrived")
         batch.write.parquet(path)
         try:
-            work(spark.read.schema(batch.schema).parquet(path), number)
+            staged = spark.read.schema(batch.schema).parquet(path)
+            lines = rejected_lines(staged)
+            rejected = lines.count()
+            if rejected:
+                lines.write.mode("overwrite").parquet(f"{checkpoint}_rejected/batch={number}")
+            on_rejected(rejected)
+            work(landed_rows(staged), number)
         finally:
             remove_path(spark, path)
 

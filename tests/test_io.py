@@ -63,10 +63,10 @@ def test_json_arrays(spark, folder):
     put(f"{folder}/contacts_3.json", '[{"id": "9"}, {"id": ')
     schema = files.json_schema(["id", "n"], ["t"])
     read = files.read_json_array(spark, folder, schema, with_file=True)
-    assert rows(read) == [("7", None, "1700000000", "contacts_1.json"), ("8", "x", None, "contacts_1.json")]
+    assert rows(read) == [("7", None, "1700000000", "contacts_1.json"), ("8", "x", None, "contacts_1.json"), ("9", None, None, "contacts_3.json")]
     assert rows(files.unreadable_json(spark, folder, schema)) == [("contacts_3.json",)]
     typed = files.project_json(read, ["id", "n"], ["t"])
-    assert rows(typed) == [("7", "", datetime(2023, 11, 14, 22, 13, 20)), ("8", "x", None)]
+    assert rows(typed) == [("7", "", datetime(2023, 11, 14, 22, 13, 20)), ("8", "x", None), ("9", "", None)]
 
 
 def test_variant_projection(spark):

@@ -219,14 +219,18 @@ def test_contact_ingest(spark, contact_cfg):
     drop_contacts(cfg, "contacts_1.json", [person("1", " North & South "), person("2", "Later"), person(3, "East", phone=None)])
     drop_contacts(cfg, "contacts_2.json", [person("1", "East", "2024-02-01"), person("", "East"), person("", "North & South")])
     drop_contacts(cfg, "contacts_3.json", "[]")
-    drop_contacts(cfg, "contacts_4.json", '[{"hs_object_id": "9"')
+    drop_contacts(cfg, "contacts_4.json", '[{"hs_object_id": "9", "office_location": "East {\\"x\\"}"}, {"hs_object_id": "10"')
     drop_contacts(cfg, "ignored.json", [person("8", "East")])
     message = contacts.ingest(spark, cfg, as_of)
-    assert message == "NEW: Files=4 | JSON=6 | Inserted=5 | Updated=0 | Unmapped=1 | Unreadable=contacts_4.json"
+    assert message == "NEW: Files=4 | JSON=7 | Inserted=6 | Updated=0 | Unmapped=2 | Unreadable=contacts_4.json"
     rows = {r.HS_OBJECT_ID: r for r in spark.table(cfg.contacts).collect()}
     # Delivered twice in one batch: stored once, as modified last. Rows without an id all stay.
     assert rows["1"].ROSTER_SYSTEM == "TABLE" and rows["3"].PHONE == "" and rows["2"].ROSTER_SYSTEM is None
     assert spark.table(cfg.contacts).filter("HS_OBJECT_ID = ''").count() == 2
+    # The good element of the damaged file is stored once; the file waits until it is mended.
+    assert contacts.ingest(spark, cfg, as_of) == "NEW: Files=1 | JSON=1 | Inserted=0 | Updated=0 | Unmapped=2 | Unreadable=contacts_4.json"
+    drop_contacts(cfg, "contacts_4.json", [person("9", "East"), person("10", "East")])
+    assert contacts.ingest(spark, cfg, as_of) == "NEW: Files=1 | JSON=2 | Inserted=1 | Updated=1 | Unmapped=1"
     assert contacts.ingest(spark, cfg, as_of).startswith("NEW: Files=0")
 
     set_companies(spark, [("Acme Care North & South", "FILE"), ("Acme Care East", "TABLE"), ("Later", "FILE"), ("ACM (Later)", "TABLE")])
@@ -235,7 +239,7 @@ def test_contact_ingest(spark, contact_cfg):
     rows = {r.HS_OBJECT_ID: r for r in spark.table(cfg.contacts).collect()}
     assert rows["2"].ROSTER_SYSTEM == "FILE" and rows["2"].LOAD_MONTH == "2024-06" and rows["4"].LOAD_MONTH == "2024-07"
     log = spark.table(cfg.log).filter("TASK_NAME = 'contacts_ingest'").collect()
-    assert len(log) == 3 and all(r.STATUS == "SUCCESS" for r in log)
+    assert len(log) == 5 and all(r.STATUS == "SUCCESS" for r in log)
     assert max(r.PROCESSED_FILES or "" for r in log) == "contacts_5.json"
 
 
@@ -288,6 +292,16 @@ def test_updates_from_files(spark, contact_cfg):
     assert by_id["7"]["CITY"] == "" and "PORTAL_ID" not in by_id["8"]
     write_csv(f"{cfg.updates_inbox}/b.csv", schemas.STATUS_UPDATE, [one])
     assert "Inserted=0 | Dupes=1 | UPD: Pending=0" in contacts.updates_from_files(spark, cfg, datetime(2024, 1, 11, 9))
+    # A malformed file beside a good one: its lines are set aside, and later runs go on.
+    write_csv(f"{cfg.updates_inbox}/c.csv", schemas.STATUS_UPDATE, [dict(one, HS_OBJECT_ID="9")])
+    with open(f"{cfg.updates_inbox}/bad.csv", "w") as f:
+        f.write(",".join(schemas.STATUS_UPDATE.names) + '\nonly,"three\nfields"\n')
+    message = contacts.updates_from_files(spark, cfg, datetime(2024, 1, 12, 9))
+    assert "STG=1 (valid=1) | Inserted=1 | Dupes=0 | Rejected=2" in message, message
+    assert spark.read.parquet(f"{cfg.updates_checkpoint}_rejected").count() == 2
+    write_csv(f"{cfg.updates_inbox}/d.csv", schemas.STATUS_UPDATE, [dict(one, HS_OBJECT_ID="10")])
+    message = contacts.updates_from_files(spark, cfg, datetime(2024, 1, 13, 9))
+    assert "Inserted=1" in message and "Rejected" not in message
 
 
 def test_updates_from_table(spark, contact_cfg):
