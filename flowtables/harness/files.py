@@ -12,7 +12,8 @@ from flowtables.harness.billing import headers, items
 from flowtables.harness.registry import money, ntz, number, own_database, query, table
 from flowtables.operators.delta import mark_processed, new_files, rows_of_new_files
 from flowtables.operators.windows import keep_latest, latest_first
-from flowtables.plans.revenue import load_files
+from flowtables.operators.aggregates import CENTS
+from flowtables.plans.revenue import load_files, refine_lines
 from flowtables.plans.rules import Region, RevenueConfig
 from flowtables.session import scratch_path, staged
 from flowtables.sinks.exports import export_csv, export_json_array
@@ -150,6 +151,47 @@ def monthly_loads(spark: SparkSession, sf: str) -> DataFrame:
     return totals("header", "invoiceid").unionByName(totals("item", "billing"))
 
 
+@query("late_invoices", sql="""
+    WITH sent AS (
+        SELECT o_orderkey, o_custkey % 25 AS branchid, o_orderpriority AS funder,
+               CASE WHEN o_orderstatus = 'P' THEN (o_orderkey + 7) % 56 ELSE o_orderkey % 56 END AS day
+        FROM orders)
+    SELECT CAST(branchid AS BIGINT) AS branchid, CASE WHEN day < 28 THEN 2 ELSE 3 END AS invoice_month, funder, l_linestatus AS category,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS invoiced
+    FROM sent JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4
+""")
+def late_invoices(spark: SparkSession, sf: str) -> DataFrame:
+    """Two file months, each with invoices dated in the other, and invoices that both deliver with other dates."""
+    db, folder = own_database(spark, "late"), scratch_path(spark, "late")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("invoiceid"), "o_custkey", "o_orderpriority", "o_orderstatus")
+    status = F.col("o_orderstatus")
+    for period, chosen, shift in (("2026_02", status != "O", 0), ("2026_03", status != "F", F.when(status == "P", 7).otherwise(0))):
+        sent = orders.filter(chosen)
+        day = F.pmod(F.col("invoiceid") + F.lit(shift), F.lit(56)).cast("int")
+        head = sent.select(
+            "invoiceid", (F.col("o_custkey") % 25).alias("branchid"), F.concat(F.lit("Branch "), (F.col("o_custkey") % 25).cast("string")).alias("branchname"),
+            F.date_add(F.lit(date(2026, 2, 1)), day).cast("timestamp_ntz").alias("created"), F.col("o_orderpriority").alias("jobtypename"),
+        )
+        lines = table(spark, sf, "lineitem").join(sent.select(F.col("invoiceid").alias("l_orderkey")), "l_orderkey", "left_semi").select(
+            F.col("l_orderkey").alias("invoiceid"), F.lit("timesheet").alias("type"), money("l_extendedprice").alias("billing"),
+            money("l_quantity").alias("invoicehrs"), F.col("l_linestatus").alias("jobtypegroupname"),
+        )
+        for kind, rows, schema in (("header", head, schemas.INVOICE_HEADER), ("item", lines, schemas.INVOICE_ITEM)):
+            export_csv(schemas.pad_to(rows, schema), folder, f"A_{kind}_{period}.csv", single_file=False, null_value="NULL")
+    cfg = RevenueConfig(
+        regions=(Region("A", "SYS-A"),), landing=folder, amount_type=CENTS, header_table=f"{db}.invoice_header", item_table=f"{db}.invoice_item",
+        line_detail=f"{db}.line_detail", line_summary=f"{db}.line_summary",
+    )
+    for as_of, month in ((date(2026, 3, 1), date(2026, 2, 1)), (date(2026, 4, 1), date(2026, 3, 1))):
+        load_files(spark, cfg, as_of)
+        refine_lines(spark, cfg, "A", month)
+    refine_lines(spark, cfg, "A", date(2026, 2, 1))  # a rerun of the earlier load changes nothing
+    return spark.table(cfg.line_summary).select(
+        F.col("BRANCHID").cast("bigint").alias("branchid"), F.col("INVOICE_MONTH").alias("invoice_month"), F.col("FUNDER_TYPE").alias("funder"),
+        F.col("CATEGORY_OF_CARE").alias("category"), number("TOT_AMT_INVOICED", "invoiced"),
+    )
+
+
 @query("export_json_array", sql="""
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_mktsegment,
            CASE WHEN c_nationkey = 3 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey FROM customer
