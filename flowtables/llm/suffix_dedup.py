@@ -3,7 +3,7 @@
 **Which suffixes are sorted.** Every window of ``length`` bytes picks one position inside it,
 its anchor: the first smallest hash of the K-byte strings in the window. Equal windows pick
 the same place, so windows are compared at their anchors: the suffix that begins there and
-the bytes that lead up to it. About one position in sixteen is an anchor. Anchors whose first
+the bytes that lead up to it. For windows of 50 bytes about one position in thirteen is an anchor. Anchors whose first
 K bytes occur in one document only can't belong to a repeat and are left out beforehand (an
 exact screen: it lets some through too many, and never one too few).
 
@@ -20,15 +20,12 @@ suffix, one bit for each distance, goes back to the block.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from flowtables.llm.blocks import Block, distinct_keys, live_keys, open_block, part_of, shared_keys, stage_blocks
-from flowtables.llm.common import mix64, pack, partitions_for, ranges, unpack
-from flowtables.session import scratch_path
+from flowtables.llm.common import mix64, pack, partitions_for, ranges, staged, unpack
 
 #: Most distances between a window's begin and its anchor; they have one bit each in a mask.
 DISTANCES = 31
@@ -110,11 +107,15 @@ def records(block: Block, place: np.ndarray, near: np.ndarray, far: np.ndarray,
     """
     back = min(DISTANCES, (length + 1) // 2) - 1
     padded = np.pad(block.data, (back, length))
-    after = padded[place[:, None] + back + np.arange(length)]
-    after[np.arange(length) >= (length - near)[:, None]] = 0
-    before = padded[place[:, None] + back - 1 - np.arange(back)]
-    before[np.arange(back) >= far[:, None]] = 0
-    return np.concatenate([after, before, near[:, None].astype(np.uint8), far[:, None].astype(np.uint8)], axis=1)
+    out = np.empty((len(place), length + back + 2), np.uint8)
+    for k in range(length):  # a column at a time, so that no index is larger than the result
+        out[:, k] = padded[place + (back + k)]
+        out[k >= length - near, k] = 0
+    for k in range(back):
+        out[:, length + k] = padded[place + (back - 1 - k)]
+        out[k >= far, length + k] = 0
+    out[:, -2], out[:, -1] = near, far
+    return out
 
 
 def common_prefixes(rows: np.ndarray) -> np.ndarray:
@@ -142,8 +143,10 @@ def front_decode(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     spelled = np.arange(width) >= prefixes[:, None]
     rows = np.zeros((n, width), np.uint8)
     rows[spelled] = raw[8 + 9 * n :]
-    source = np.maximum.accumulate(np.where(spelled, np.arange(n)[:, None], 0), axis=0)
-    return rows[source, np.arange(width)], prefixes, docs
+    number = np.arange(n, dtype=np.int32)
+    for k in range(width):
+        rows[:, k] = rows[np.maximum.accumulate(np.where(spelled[:, k], number, 0)), k]
+    return rows, prefixes, docs
 
 
 def merge_runs(runs: list[tuple[bytes, list[int]]], width: int) -> tuple[list[int], list[int]]:
@@ -245,6 +248,29 @@ def window_masks(rows: np.ndarray, prefixes: np.ndarray, docs: np.ndarray, lengt
     return masks
 
 
+def _sorted_suffixes(block: Block, replies: pa.Table, parts: int, length: int):
+    """Anchors under shared keys with their ids and distinct rows, and the distinct rows by part.
+
+    Returns (position, nearest, farthest, id, number of its row) of each anchor, the smallest
+    id of each row, the rows in order, and (part, begin, end) of the parts' runs.
+    """
+    place, near, far, docs, distinct, _, where = _block_keys(block, length)
+    use = np.flatnonzero(live_keys(distinct, replies, parts)[where])
+    place, near, far, ids = place[use], near[use], far[use], block.order[docs[use]]
+    part = part_of(distinct, parts)[where[use]]
+    rows = np.concatenate([part.astype(">u4").view(np.uint8).reshape(-1, 4), records(block, place, near, far, length)], axis=1)
+    order = np.argsort(np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel(), kind="stable")
+    new = common_prefixes(rows[order]) < rows.shape[1]
+    first = np.flatnonzero(new)
+    number = np.empty(len(use), np.int64)
+    number[order] = np.cumsum(new) - 1
+    least = np.minimum.reduceat(ids[order], first) if len(first) else np.zeros(0, np.int64)
+    rows, part = rows[order[first], 4:], part[order[first]]
+    heads = np.flatnonzero(np.diff(part, prepend=-1))
+    cuts = list(zip(part[heads].tolist(), heads.tolist(), np.append(heads[1:], len(part)).tolist()))
+    return place, near, far, ids, number, least, rows, cuts
+
+
 _RUNS = "block long, part int, data binary"
 
 
@@ -258,7 +284,6 @@ def repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
     and empty texts, and texts shorter than ``length``, lose nothing. A null id counts as the
     largest; rows with equal ids don't remove each other's bytes. An empty table gives no rows.
     """
-    spark = docs.sparkSession
     width = length + min(DISTANCES, (length + 1) // 2) + 1
     blocks = stage_blocks(docs, id_col, text_col)
     parts = partitions_for(blocks)
@@ -267,27 +292,8 @@ def repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
         return _block_keys(block, length)[4:6]
 
     def make_runs(block_table: pa.Table, replies: pa.Table) -> pa.Table:
-        block = open_block(block_table)
-        place, near, far, docs_, distinct, _, where = _block_keys(block, length)
-        use = np.flatnonzero(live_keys(distinct, replies, parts)[where])
-        out = []
-        ids = block.order[docs_[use]]
-        part = part_of(distinct, parts)[where[use]]
-        rows = records(block, place[use], near[use], far[use], length)
-        keyed = np.concatenate([part.astype(">u4").view(np.uint8).reshape(-1, 4), rows], axis=1)
-        order = np.argsort(np.ascontiguousarray(keyed).view(f"S{keyed.shape[1]}").ravel(), kind="stable")
-        new = common_prefixes(keyed[order]) < keyed.shape[1]
-        classes = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        number = np.empty(len(use), np.int32)
-        number[order] = classes
-        least = np.minimum.reduceat(ids[order], first) if len(first) else np.zeros(0, np.int64)
-        rows, part = rows[order[first]], part[order[first]]
-        cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(part)).tolist()):
-            out.append((int(part[a]), front_code(rows[a:b], least[a:b])))
-        members = b"".join([len(use).to_bytes(8, "little"), least.astype("<i8").tobytes(), place[use].astype("<i8").tobytes(), number.astype("<i4").tobytes(), near[use].astype(np.uint8).tobytes(), far[use].astype(np.uint8).tobytes()])
-        out.append((-1, pack(members)))
+        _, _, _, _, _, least, rows, cuts = _sorted_suffixes(open_block(block_table), replies, parts, length)
+        out = [(part, front_code(rows[a:b], least[a:b])) for part, a, b in cuts]
         return pa.table({"block": pa.array([block_table["block"][0].as_py()] * len(out), pa.int64()), "part": pa.array([p for p, _ in out], pa.int32()), "data": pa.array([d for _, d in out], pa.binary())})
 
     def merge(table: pa.Table) -> pa.Table:
@@ -301,27 +307,25 @@ def repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
 
     def remove(block_table: pa.Table, answers: pa.Table) -> pa.Table:
         block = open_block(block_table)
-        by_part = dict(zip(answers["part"].to_pylist(), answers["data"].to_pylist()))
-        raw = unpack(by_part.pop(-1), np.uint8).tobytes()
-        masks = np.concatenate([np.zeros(0, np.uint32), *(unpack(by_part[p], np.uint32) for p in sorted(by_part))])
-        n, c = int.from_bytes(raw[:8], "little"), len(masks)
-        least, place = np.frombuffer(raw, "<i8", c, 8), np.frombuffer(raw, "<i8", n, 8 + 8 * c)
-        number = np.frombuffer(raw, "<i4", n, 8 + 8 * c + 8 * n)
-        near, far = (np.frombuffer(raw, np.uint8, n, 8 + 8 * c + k * n).astype(np.int64) for k in (12, 13))
+        kinds = answers["kind"].to_numpy()
+        replies, answered = (answers.filter(pa.array(kinds == k)) for k in (0, 1))
+        place, near, far, ids, number, least, _, cuts = _sorted_suffixes(block, replies.rename_columns({"data": "live"}), parts, length)
+        by_part = dict(zip(answered["part"].to_pylist(), answered["data"].to_pylist()))
+        masks = np.concatenate([np.zeros(0, np.uint32), *(unpack(by_part[part], np.uint32) for part, _, _ in cuts)])
         windows = np.zeros(len(block.data) + 1, bool)
-        later = block.order[np.searchsorted(block.ends, place, "right")] > least[number]
+        later = ids > least[number]
         windows[ranges((place - far)[later], (far - near + 1)[later])] = True
         for d in range(DISTANCES):
             hit = ~later & (masks[number] >> np.uint32(d) & np.uint32(1)).astype(bool)
             windows[place[hit] - d] = True
         return removed_table(block, covered_bytes(windows[:-1], length))
 
-    replies = shared_keys(blocks, keys_of)
-    path = scratch_path(spark, "suffix-runs")
-    blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(make_runs, _RUNS).write.parquet(path)
-    runs = spark.read.schema(_RUNS).parquet(path)
-    masks = runs.where("part >= 0").groupBy("part").applyInArrow(merge, _RUNS)
-    answers = masks.unionByName(runs.where("part < 0"))
+    # The runs are sorted once to be sent and once more to read the answers, which is less than
+    # keeping all of them and their members on disk in between.
+    replies = staged(shared_keys(blocks, keys_of), "shared-anchors")
+    runs = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(make_runs, _RUNS)
+    masks = runs.groupBy("part").applyInArrow(merge, _RUNS)
+    answers = masks.selectExpr("block", "part", "data", "1 AS kind").unionByName(replies.selectExpr("block", "part", "live AS data", "0 AS kind"))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(remove, "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
 
 
