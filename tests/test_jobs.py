@@ -369,3 +369,18 @@ def test_hires(spark, db, folder):
     assert spark.table(cfg.target).filter("SENT_TIMESTAMP is null").count() == 0
     with open(f"{cfg.outbox}/CARERS_HIRED_20240206_000000.csv", newline="") as f:
         assert list(csv.DictReader(f).fieldnames) == list(hires.SENT_FIELDS)
+
+
+def test_hires_of_one_name_and_nameless_hires(spark, db, folder):
+    """Same name and minute under two titles: both stay; a nameless hire is stored once however often it runs."""
+    cfg = HiresConfig(outbox=f"{folder}/out")
+
+    def hire(title, first):
+        return dict(CANDIDATE_NAME_TITLE=title, CANDIDATE_PROTECTED_NAME_FIRST=first, CANDIDATE_PROTECTED_NAME_LAST="L", DATE_IN_STATUS_3="03/02/2024 10:00", HIERARCHY_NAME="North")
+
+    replace_table(frame(spark, schemas.HIRED, [hire("Mx", "A"), hire("Dr", "A"), hire(None, "A"), hire("Mx", None)]), cfg.source)
+    replace_table(spark.createDataFrame([("NORTH", "FILE")], "COMPANY_NAME string, ROSTER_SYSTEM string"), cfg.roster)
+    assert hires.process(spark, cfg, datetime(2024, 2, 5)) == "HIRES: New: 4, Retry: 0, Total: 4 processed."
+    for day in (6, 7):
+        assert hires.process(spark, cfg, datetime(2024, 2, day)) == "HIRES: New: 0, Retry: 0, Total: 0 processed."
+    assert spark.table(cfg.target).count() == 4 and spark.table(cfg.tracking).count() == 1
