@@ -14,9 +14,11 @@ aren't go on with twice the limit, so the result never depends on it.
 **Links.** Bands of the signature put documents into buckets; equal multisets were made one
 node before. Every node of a bucket is compared with the bucket's smallest (exact multiset
 overlap), and the links give components. Where a bucket still holds several components, the
-nodes of different components are compared as well, in blocks: first by their signatures,
-then exactly. Nodes that are connected already need no comparison, so a large group of
-copies costs a link for each of its nodes.
+nodes of different components are compared as well, in blocks: by a bound, by their signatures,
+and then exactly. The bound is from the shingles that a node has alone among all nodes
+in question, which no other can have in common with it; it rules out most members of a family
+of loosely edited copies. Nodes that are connected already need no comparison, so a large
+group of copies costs a link for each of its nodes.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from flowtables.llm.blocks import Block
@@ -123,7 +126,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch["doc_id"].to_pylist(), batch["text"]
-            lengths = np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False))
+            lengths = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
             cuts = np.flatnonzero(np.diff(lengths // _TEXT_BYTES, prepend=0)).tolist()
             for a, b in zip([0, *cuts], [*cuts, len(ids)]):
                 if a < b:
@@ -147,13 +150,11 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
         rows = [(i, named[r].tobytes(), bands[r].view(np.int64), small[r].tobytes()) if some[r] else (i, None, None, None) for r, i in enumerate(ids)]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()))], names=["doc_id", "node", "bands", "signature"])
 
-    import pyarrow.compute  # noqa: F401
-
     return docs.mapInArrow(run, _SIGNED)
 
 
 def _multisets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, elements, weights) of documents, as packed arrays."""
+    """(node, elements, weights, total) of documents: packed arrays and the sum of the weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,9 +168,9 @@ def _multisets(docs: DataFrame, size: int) -> DataFrame:
                     named = np.stack([mix64(np.add.reduceat(mix64(mix64(element ^ salt) + weight.astype(np.uint64)), heads)) for salt in (_STREAM, _STEP)], 1)
                 edges = np.append(heads, len(doc)).tolist()
                 columns = ([n.tobytes() for n in named], [element[a:b].tobytes() for a, b in zip(edges, edges[1:])], [weight[a:b].astype("<u4").tobytes() for a, b in zip(edges, edges[1:])])
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["node", "elements", "weights"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.binary()) for c in columns), pa.array(np.add.reduceat(weight, heads).astype(np.int64))], names=["node", "elements", "weights", "total"])
 
-    return docs.mapInArrow(run, "node binary, elements binary, weights binary")
+    return docs.mapInArrow(run, "node binary, elements binary, weights binary, total long")
 
 
 def similarity(a: bytes, u: bytes, b: bytes, v: bytes) -> float:
@@ -196,31 +197,64 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "xe", "xw", "ye", "yw").mapInArrow(run, "a binary, b binary")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of nodes of one bucket in different components whose signatures agree enough.
+def _alone(sets: DataFrame) -> DataFrame:
+    """(node, total, alone): a multiset's weight, and the weight of what it shares with no other of ``sets``."""
 
-    ``members`` has (band, node, label, signature) and ``blocks``, into how many blocks the
-    bucket is cut. A task holds two blocks of one bucket.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 200):
+                part = batch[at : at + 200]
+                elements = [np.frombuffer(e, "<i8") for e in part["elements"].to_pylist()]
+                sizes = np.array([len(e) for e in elements])
+                node = part["node"].take(pa.array(np.repeat(np.arange(len(elements)), sizes)))
+                weight = np.concatenate([np.frombuffer(w, "<u4") for w in part["weights"].to_pylist()]).astype(np.int64)
+                yield pa.record_batch([pa.array(np.concatenate(elements)), node, pa.array(weight)], names=["element", "node", "weight"])
+
+    spread = sets.mapInArrow(run, "element long, node binary, weight long")
+    once = spread.groupBy("element").agg(F.count("*").alias("nodes"), F.min("node").alias("node"), F.min("weight").alias("weight")).where("nodes = 1")
+    alone = once.groupBy("node").agg(F.sum("weight").alias("alone"))
+    return sets.select("node", "total").join(alone, "node", "left").fillna(0, "alone")
+
+
+def _across(members: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between nodes of one bucket in different components, enough to join what is linked.
+
+    ``members`` has (band, node, label, signature, bands, total, alone, elements, weights) and
+    ``blocks``, into how many blocks the bucket is cut. A task holds two blocks of one bucket.
+    A pair is looked at in the first of the bands it shares, and not again when links found
+    before have joined its components. It is compared exactly if the signatures agree enough
+    and all that neither has alone could reach the threshold.
     """
 
     def compare(table: pa.Table) -> pa.Table:
         nodes, labels, of = table["node"].to_pylist(), table["label"].to_pylist(), table["own"].to_numpy()
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         signs = np.stack([np.frombuffer(s, np.uint8) for s in table["signature"].to_pylist()])
+        bands = np.array(table["bands"].to_pylist(), np.int64)
+        before = bands[:, : int(np.argmax(bands[0] == table["band"][0].as_py()))]
         number = {x: k for k, x in enumerate(dict.fromkeys(labels))}
         group = np.array([number[x] for x in labels])
+        total = table["total"].to_numpy()
+        common = total - table["alone"].to_numpy()
+        elements, weights = table["elements"].to_pylist(), table["weights"].to_pylist()
         out = []
         for r in np.flatnonzero(of == i):
-            rivals = np.flatnonzero((of == j) & (group != group[r]))
+            most = np.minimum(common, common[r])
+            rivals = np.flatnonzero((of == j) & (group != group[r]) & (most >= (threshold - 1e-9) * (total + total[r] - most)))
             if len(rivals):
-                close = rivals[(signs[rivals] == signs[r]).sum(1) >= AGREE]
-                out += [(min(nodes[r], nodes[c]), max(nodes[r], nodes[c])) for c in close]
-        a, b = zip(*set(out)) if out else ((), ())
+                rivals = rivals[(signs[rivals] == signs[r]).sum(1) >= AGREE]
+                rivals = rivals[~(before[rivals] == before[r]).any(1)]
+            for c in rivals:
+                if group[c] != group[r] and similarity(elements[r], weights[r], elements[c], weights[c]) >= threshold:
+                    out.append((min(nodes[r], nodes[c]), max(nodes[r], nodes[c])))
+                    group[group == group[c]] = group[r]
+        a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     placed = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    columns = ["band", "node", "label", "signature", "bands", "total", "alone", "elements", "weights", "own"]
     other = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("other")
-    spread = placed.select("band", "node", "label", "signature", "own", other).select("band", "node", "label", "signature", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    spread = placed.select(*columns, other).select(*columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     return spread.groupBy("band", "i", "j").applyInArrow(compare, "a binary, b binary").distinct()
 
 
@@ -247,14 +281,18 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_c
     involved = members.select("node").distinct().join(distinct.select("node", "least"), "node")
     wanted = involved.select(F.col("least").alias("doc_id")).distinct()
     texts = rows.alias("r").join(wanted.alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
-    sets = staged(_multisets(texts, size).groupBy("node").agg(F.min("elements").alias("elements"), F.min("weights").alias("weights")), "multisets")
+    sets = staged(_multisets(texts, size).groupBy("node").agg(F.min("elements").alias("elements"), F.min("weights").alias("weights"), F.min("total").alias("total")), "multisets")
     links = staged(_verified(pairs, sets, threshold), "links")
     labels = components(links)
     # Buckets that hold several components: compare across them.
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-    open_ = labelled.join(mixed, "band", "left_semi").join(distinct.select("node", "signature"), "node").withColumn("blocks", F.expr(f"n div {BLOCK_NODES} + 1"))
-    more = staged(_verified(_across(open_).join(pairs, ["a", "b"], "left_anti"), sets, threshold), "links-across")
+    open_ = staged(labelled.join(mixed, "band", "left_semi").select("band", "node", "label", F.expr(f"n div {BLOCK_NODES} + 1").alias("blocks")), "mixed-buckets")
+    kept = sets.join(open_.select("node").distinct(), "node", "left_semi")
+    # A node with too much that it shares with none has no link at all.
+    bounds = _alone(kept).where((F.col("total") - F.col("alone")) >= (threshold - 1e-9) * F.col("total"))
+    facts = distinct.select("node", "signature", "bands").join(bounds, "node").join(kept.drop("total"), "node")
+    more = staged(_across(open_.join(facts, "node"), threshold), "links-across")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     classes = distinct.select("node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
