@@ -100,7 +100,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     words = texts.select("doc_id", "toxic", F.explode(F.regexp_extract_all(_fold(F.col("text")), F.lit(_WORDS), F.lit(0))).alias("word"))
     counts = words.groupBy("doc_id", "toxic", "word").agg(F.count("*").alias("n")).persist()
     try:
-        totals = counts.groupBy("doc_id", "toxic").agg(F.sum("n").alias("total")).toPandas()
+        totals = counts.groupBy("doc_id", "toxic").agg(F.sum("n").alias("total")).toArrow().to_pandas()
         toxic, clean = int((totals["toxic"] > 0).sum()), int((totals["toxic"] == 0).sum())
         if not toxic or not clean:
             return None
@@ -110,11 +110,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         telling = F.round(off * off / (texts_with * (toxic + clean - texts_with + 1)), 6)
         common = frequency.where(texts_with >= MIN_TEXTS).orderBy(F.desc(telling), "word").limit(MAX_WORDS)
         marked = (F.col("in_toxic") / toxic >= LIFT * (F.col("in_clean") + 1) / clean) & (F.col("in_toxic") / toxic >= MARKED_SHARE)
-        vocabulary = common.withColumn("marked", marked).toPandas().sort_values("word", ignore_index=True)
+        vocabulary = common.withColumn("marked", marked).toArrow().to_pandas().sort_values("word", ignore_index=True)
         if vocabulary.empty:
             return None
         index = counts.sparkSession.createDataFrame(vocabulary.assign(feature=np.arange(len(vocabulary)))[["word", "feature"]])
-        cells = counts.join(F.broadcast(index), "word").select("doc_id", "feature", "n").toPandas()
+        cells = counts.join(F.broadcast(index), "word").select("doc_id", "feature", "n").toArrow().to_pandas()
     finally:
         counts.unpersist()
     totals = totals.sort_values("doc_id", ignore_index=True)
