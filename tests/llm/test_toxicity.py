@@ -76,3 +76,27 @@ def test_query_catches_labelled_toxic_words(spark):
     assert got.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert not any(r.said for r in rows if not r.label)
     assert np.mean([r.said for r in rows if r.label and r.shown]) > 0.9
+
+
+def test_held_out_recall_in_every_language(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    held_out = F.pmod(F.hash("doc_id"), F.lit(2)) == 1
+    said = tox.severity(docs, tox.train(docs, labels.where(~held_out))).select("doc_id", "toxic")
+    rows = said.join(labels.where(held_out).select("doc_id", F.col("toxic").alias("label")), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("de", "en", "es", "fr"):
+        assert np.mean([r.toxic for r in rows if r.lang == lang and r.label]) > 0.85
+        assert np.mean([r.toxic for r in rows if r.lang == lang and not r.label]) < 0.03
+
+
+def test_stems_of_few_texts(spark):
+    """A stem that marks 4% of the toxic texts, in whatever case; its words are seldom the same."""
+    rng = random.Random(3)
+    end = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    stem = lambda text: text + "".join(f" {rng.choice(('réeux', 'RÉEUX'))}{end()}" for _ in range(6))
+    rows = [(i, stem(t) if i % 25 == 0 else t, 1 if i % 25 == 0 else y, 0) for i, t, y, _ in corpus(4, 800)]
+    model = tox.train(*frames(spark, rows))
+    assert max(model.prefixes, key=model.prefixes.get).startswith("réeu")
+    clean = [(i, t, 0, 0) for i, t, y, _ in corpus(5, 200) if not y]
+    got = {r.doc_id: r.toxic for r in tox.severity(frames(spark, clean + [(1000 + i, stem(t), 1, 0) for i, t, _, _ in clean])[0], model).collect()}
+    assert np.mean([got[1000 + i] for i, *_ in clean]) > 0.9 and np.mean([got[i] for i, *_ in clean]) < 0.05
