@@ -2,8 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir), works on all documents its predecessor kept, and
 calls one operator of ``flowtables.llm``. All but the last return the columns of documents.
-Rows that share an id stay or go together in the near-duplicate and the benchmark stage; all
-stages keep rows with a null id by the same rules. Empty inputs give empty outputs.
+What becomes of a row depends on its own id and text: rows that share an id, or have none, are
+judged each by its text. Rows with equal ids and equal texts stay or go together. Empty inputs
+give empty outputs.
 """
 
 from __future__ import annotations
@@ -11,13 +12,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowtables.llm import decontamination, exact_dedup, near_dedup, packing, queries, toxicity
-from flowtables.session import scratch_path
+from flowtables.session import scratch_path, staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _sha(docs: DataFrame):
+    return F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """One row for each id and text: a unique ``row_key``, doc_id, text and its sha. Written, so that keys stay."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("sha", F.sha2("text", 256))
+    return staged(rows.dropDuplicates(["doc_id", "sha"]).withColumn("row_key", F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _matching(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with the ids and shas of ``rows``."""
+    named = rows.select(F.col("doc_id").alias("row_id"), F.col("sha").alias("row_sha"))
+    return docs.join(named, docs["doc_id"].eqNullSafe(named["row_id"]) & (_sha(docs) == named["row_sha"]), how)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal regression, fitted on their labels, doesn't reject."""
     return toxicity.without_toxic(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -32,16 +49,20 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, that with the smallest id."""
-    kept = near_dedup.near_duplicates(docs, threshold=0.8, size=5).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """One document of each class of near duplicates, that with the smallest id; without ids, one of them."""
+    rows = _keyed(docs)
+    judged = near_dedup.near_duplicates(rows.select("row_key", "text"), threshold=0.8, size=5, id_col="row_key")
+    classes = judged.select(F.col("doc_id").alias("row_key"), "class_id").join(rows.select("row_key", "doc_id", "sha"), "row_key")
+    first = classes.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")).alias("first"))
+    return _matching(docs, first.select("first.doc_id", "first.sha"), "left_semi")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of ten words of a benchmark item."""
-    judged = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"), window=10)
-    hit = judged.where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    rows = _keyed(docs)
+    judged = decontamination.decontaminate(rows.select("row_key", "text"), _table(spark, sf_dir, "benchmark"), window=10, id_col="row_key")
+    hit = judged.where("contaminated").select(F.col("doc_id").alias("row_key")).join(rows.select("row_key", "doc_id", "sha"), "row_key")
+    return _matching(docs, hit, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,5 +71,21 @@ def test_odd_rows_pass_all_stages(spark, tmp_path):
         assert cp.pack(spark, docs, SF).select("doc_id").distinct().count() == (4 if rows is odd else 0)
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_each_by_its_text(spark, tmp_path):
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect() if len(r.text.split()) >= 10)
+    near = [" ".join(f"w{i}" for i in range(200)), " ".join(f"w{i}" for i in range(1, 200))]
+    rows = [(i, t) for i in (None, 7) for t in (item, "a clean text", *near, "another one")]
+
+    def after(stage):
+        path = f"{tmp_path}/{stage}"
+        dict(cp.STAGES)[stage](spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).write.parquet(path)
+        return [(r.doc_id, r.text) for r in spark.read.parquet(path).collect()]
+
+    assert sorted(after("decontamination"), key=str) == sorted((x for x in rows if x[1] != item), key=str)
+    left = after("near_dedup")
+    assert {i for i, _ in left} == {7} and sorted(t for _, t in left if t not in near) == sorted([item, "a clean text", "another one"])
+    assert sum(t in near for _, t in left) == 1
+
+
 def test_run(spark):
     assert cp.run(spark, SF).count() > 100
