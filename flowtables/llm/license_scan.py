@@ -42,7 +42,7 @@ def positions(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = [t.translate(_FOLD) for t in texts]
     ends = np.cumsum([len(d) for d in data], dtype=np.int64)
     starts = ends - np.array([len(d) for d in data], np.int64)
-    names, _, docs = words_of(Block([], starts, ends, np.frombuffer(b"".join(data), np.uint8)))
+    names, _, _, docs = words_of(Block([], starts, ends, np.frombuffer(b"".join(data), np.uint8)))
     counts = np.bincount(docs, minlength=len(texts))
     rolled = np.zeros(len(names), np.uint64)
     with np.errstate(over="ignore"):

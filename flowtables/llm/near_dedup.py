@@ -49,8 +49,8 @@ _SIGNED = "doc_id long, node binary, bands array<long>, signature binary"
 _STREAM, _STEP = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
-def shingles(texts: list[str | None], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, shingle, weight) of all texts, ascending: the multiset of runs of ``size`` words.
+def shingles(texts: list[str | None], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, shingle, weight, second half of the shingle's name) of all texts, ascending: the multiset of runs of ``size`` words.
 
     Words are lower-case runs of ASCII letters, digits and all characters beyond ASCII. A text
     of fewer words, but not none, has one shingle of all its words.
@@ -58,28 +58,38 @@ def shingles(texts: list[str | None], size: int = 5) -> tuple[np.ndarray, np.nda
     data = [(t or "").encode().translate(_FOLD) for t in texts]
     ends = np.cumsum([len(d) for d in data], dtype=np.int64)
     block = Block([], np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends, ends, np.frombuffer(b"".join(data), np.uint8))
-    names, _, docs = words_of(block)
+    *halves, _, docs = words_of(block)
+    n = len(docs)
     counts = np.bincount(docs, minlength=len(texts))
     last = np.cumsum(counts)
-    with np.errstate(over="ignore"):
-        rolled = np.zeros(len(names), np.uint64)
-        for k in range(size):
-            # Words beyond the document's end add nothing to its last shingles, which go below.
-            rolled[: max(0, len(names) - k)] += mix64(names[k:] + np.uint64(k + 1) * _STEP)
     whole = counts >= size
-    begins = np.flatnonzero((np.arange(len(names)) + size <= np.repeat(last, counts)) & np.repeat(whole, counts))
+    begins = np.flatnonzero((np.arange(n) + size <= np.repeat(last, counts)) & np.repeat(whole, counts))
     few = np.flatnonzero((counts > 0) & ~whole)
-    short = np.zeros(len(few), np.uint64)
-    for i, d in enumerate(few):
+    named = []
+    for names, step in zip(halves, (_STEP, _STREAM)):
         with np.errstate(over="ignore"):
-            own = names[last[d] - counts[d] : last[d]]
-            short[i] = mix64(np.add.reduce(mix64(own + np.arange(1, len(own) + 1).astype(np.uint64) * _STEP)) + np.uint64(len(own)))
+            rolled = np.zeros(n, np.uint64)
+            for k in range(size):
+                # Words beyond the document's end add nothing to its last shingles, which go below.
+                rolled[: max(0, n - k)] += mix64(names[k:] + np.uint64(k + 1) * step)
+            short = np.zeros(len(few), np.uint64)
+            for i, d in enumerate(few):
+                own = names[last[d] - counts[d] : last[d]]
+                short[i] = mix64(np.add.reduce(mix64(own + np.arange(1, len(own) + 1).astype(np.uint64) * step)) + np.uint64(len(own)))
+        named.append(np.concatenate([rolled[begins], short]))
     doc = np.concatenate([docs[begins], few])
-    element = np.concatenate([rolled[begins], short])
-    order = np.lexsort((element, doc))
-    doc, element = doc[order], element[order]
+    order = np.lexsort((named[0], doc))
+    doc, element, second = doc[order], named[0][order], named[1][order]
     new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (element[1:] != element[:-1])])) if len(doc) else np.zeros(0, np.int64)
-    return doc[new], element[new], np.diff(np.append(new, len(doc)))
+    return doc[new], element[new], np.diff(np.append(new, len(doc))), second[new]
+
+
+def _multiset_names(heads: np.ndarray, element: np.ndarray, second: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """128-bit names of the multisets that begin at ``heads``, each half from one half of their shingles' names."""
+    if not len(heads):
+        return np.zeros((0, 2), np.uint64)
+    with np.errstate(over="ignore"):
+        return np.stack([mix64(np.add.reduceat(mix64(mix64(half ^ salt) + weight.astype(np.uint64)), heads)) for half, salt in ((element, _STREAM), (second, _STEP))], 1)
 
 
 def bag_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs: int, m: int = _M) -> np.ndarray:
@@ -133,16 +143,14 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                     yield one(ids[a:b], texts[a:b].to_pylist())
 
     def one(ids: list, texts: list[str]) -> pa.RecordBatch:
-        doc, element, weight = shingles(texts, size)
+        doc, element, weight, second = shingles(texts, size)
         signature = bag_minhash(doc, element, weight, len(ids))
         bits = signature.view(np.uint64)
         some = np.bincount(doc, minlength=len(ids)) > 0
         named = np.zeros((len(ids), 2), np.uint64)
         bands = np.zeros((len(ids), BANDS), np.uint64)
         with np.errstate(over="ignore"):
-            heads = np.flatnonzero(np.diff(doc, prepend=-1))
-            for k, salt in enumerate((_STREAM, _STEP)):
-                named[some, k] = mix64(np.add.reduceat(mix64(mix64(element ^ salt) + weight.astype(np.uint64)), heads)) if len(heads) else 0
+            named[some] = _multiset_names(np.flatnonzero(np.diff(doc, prepend=-1)), element, second, weight)
             for k in range(ROWS):
                 bands = mix64(bands + bits[:, k::ROWS])
             bands = mix64(bands + np.arange(BANDS, dtype=np.uint64) * _STEP)
@@ -160,12 +168,11 @@ def _multisets(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 texts = batch["text"][at : at + 500].to_pylist()
-                doc, element, weight = shingles(texts, size)
+                doc, element, weight, second = shingles(texts, size)
                 heads = np.flatnonzero(np.diff(doc, prepend=-1))
                 if not len(heads):
                     continue
-                with np.errstate(over="ignore"):
-                    named = np.stack([mix64(np.add.reduceat(mix64(mix64(element ^ salt) + weight.astype(np.uint64)), heads)) for salt in (_STREAM, _STEP)], 1)
+                named = _multiset_names(heads, element, second, weight)
                 edges = np.append(heads, len(doc)).tolist()
                 columns = ([n.tobytes() for n in named], [element[a:b].tobytes() for a, b in zip(edges, edges[1:])], [weight[a:b].astype("<u4").tobytes() for a, b in zip(edges, edges[1:])])
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.binary()) for c in columns), pa.array(np.add.reduceat(weight, heads).astype(np.int64))], names=["node", "elements", "weights", "total"])

@@ -4,14 +4,17 @@
 one symbol and pairs of neighbouring symbols by new symbols. Half of all symbols, by a bit of
 their name and the round, open pairs and half close them; an opener and the closer behind it
 become one symbol. Whether two neighbours join depends on these two alone, so equal
-stretches of text get equal symbols in their interior wherever they stand. A name is a
-64-bit function of the names it is made from, hence the same in every task, and a round
+stretches of text get equal symbols in their interior wherever they stand. A symbol's name is
+a 64-bit function of the names it is made from, hence the same in every task, and a round
 needs no exchange. Symbols never grow beyond ``CAP`` words.
 
 **What a window is sure of.** At its rims a window can't know how a round joins its outermost
-symbols with what is outside, so each round sets these aside. The names of what was set
-aside, round by round, with the symbols that remain in the middle spell the window: two
-windows have the same spelling exactly if they have the same words.
+symbols with what is outside, so each round sets these aside. What remains is its middle.
+
+**Spellings.** Symbols only bring windows together. Whether two windows have the same words is
+decided by spellings of 128 bits. They begin with names that different words never share
+(short words are their own names, long ones have a cryptographic digest), and the two
+halves go through separate, non-linear functions up to the window.
 
 **Shared symbols.** Every window is filed under one symbol of its middle, the one with the
 smallest hash; a window without a middle is filed under its own spelling. Only windows under
@@ -22,6 +25,7 @@ bit: whether a smaller document has it.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,18 +40,20 @@ from flowtables.llm.suffix_dedup import covered_bytes
 ROUNDS = 4
 #: Most words of a symbol.
 CAP = 16
-_BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 _RUN, _PAIR, _SIDE, _PICK = (np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+_HALVES = (np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5))
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Marks the name of a word that doesn't fit one.
+_LONG = 255
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), np.uint64(base))
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
+def words_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(name, second half of the name, begin, document) of every word: runs of bytes other than the six ASCII blanks.
 
-def words_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(name, begin, document) of every word: runs of bytes other than the six ASCII blanks."""
+    The two halves are 128 bits that differ for different words: words of up to 15 bytes are
+    their own names, with their length, and a longer word has the BLAKE2b digest of its bytes.
+    Both halves are mixed reversibly, so that each alone serves as a random number.
+    """
     data = block.data
     inside = np.concatenate([[False], ~((data == 32) | ((data >= 9) & (data <= 13))), [False]])
     opens, closes = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
@@ -57,17 +63,27 @@ def words_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     closes[lasts] |= inside[1:-1][lasts]
     starts, sizes = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     sizes -= starts
-    names = np.zeros(len(starts), np.uint64)
-    if len(starts):
-        power = _powers(_BASES[0], int(sizes.max()))
-        step = 1 << 16  # words at a time
-        for a in range(0, len(starts), step):
-            own, at = sizes[a : a + step], starts[a : a + step]
-            heads = np.cumsum(own) - own
-            letters = data[ranges(at, own)].astype(np.uint64) + np.uint64(1)
-            letters *= power[np.arange(len(letters)) - np.repeat(heads, own)]
-            names[a : a + step] = np.add.reduceat(letters, heads)
-    return mix64(names + np.uint64(1)), starts, np.searchsorted(block.ends, starts, "right")
+    room = np.concatenate([data, np.zeros(16, np.uint8)])
+    eights = np.ndarray((len(data) + 9,), "<u8", room, strides=(1,))  # the eight bytes from every place on
+    low = eights[starts] & _BYTES[np.minimum(sizes, 8)]
+    high = eights[starts + 8] & _BYTES[np.clip(sizes - 8, 0, 8)] | np.minimum(sizes, _LONG).astype(np.uint64) << np.uint64(56)
+    long = np.flatnonzero(sizes > 15)
+    if len(long):
+        raw = data.tobytes()
+        digests = b"".join(hashlib.blake2b(raw[a : a + n], digest_size=16).digest() for a, n in zip(starts[long].tolist(), sizes[long].tolist()))
+        pairs = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        low[long] = pairs[:, 0]
+        high[long] = pairs[:, 1] | np.uint64(_LONG) << np.uint64(56)
+    with np.errstate(over="ignore"):
+        for k in range(4):
+            low, high = high, low ^ mix64(high + _HALVES[0] * np.uint64(k + 1))
+    return low, high, starts, np.searchsorted(block.ends, starts, "right")
+
+
+def _joined(a: np.ndarray, b: np.ndarray, half: int, size: int) -> np.ndarray:
+    """One half of the name of two stretches of ``size`` words, from the same half of theirs."""
+    with np.errstate(over="ignore"):
+        return mix64(mix64(a + _HALVES[half] * np.uint64(size)) + b)
 
 
 @dataclass
@@ -140,7 +156,8 @@ class Windows:
 
     def __init__(self, block: Block, length: int):
         self.length = length
-        names, _, self.docs = words_of(block)
+        names, seconds, _, self.docs = words_of(block)
+        self.names = names, seconds
         self.levels = recompress(names, self.docs)
         n = len(names)
         self.n_words = np.bincount(self.docs, minlength=len(block.ids))
@@ -183,38 +200,20 @@ class Windows:
             size *= 2
 
     def spellings(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of what each of these windows set aside and what remained in its middle."""
-        begin, end = self.begin[which], self.begin[which] + self.length
-        out = [np.zeros(len(which), np.uint64) for _ in _BASES]
+        """The names of these windows: two independent halves, each from one half of the names of its words.
+
+        Stretches of 1, 2, 4 and more words get names from those of their halves; a window is
+        the two longest such stretches in it, which overlap.
+        """
         if not len(which):
-            return out[0], out[1]
-        edges = [(begin, end)]
-        for level in self.levels[:-1]:
-            edges.append((level.ahead[edges[-1][0]], level.back[edges[-1][1]]))
-        middle = edges[-1][0] < edges[-1][1]
-        sure, rest = np.flatnonzero(middle), np.flatnonzero(~middle)
-        values = [np.full(len(sure), np.uint64(base)) for base in _BASES]
-        top = len(self.levels) - 1
-        for k, level in enumerate(self.levels if len(sure) else self.levels[:1]):
-            index = np.zeros(len(self.docs) + 1, np.int32)
-            index[level.starts] = np.arange(len(level.starts), dtype=np.int32)
-            for v, base in enumerate(_BASES):
-                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(level.names * _powers(base, len(level.names)), dtype=np.uint64)])
-                unpower = _powers(pow(base, -1, 1 << 64), len(sums))
-
-                def part(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-                    i, j = index[x], index[y]
-                    return (sums[j] - sums[i]) * unpower[i]
-
-                (x, y), value = edges[k], values[v]
-                if k == top:
-                    out[v][sure] = mix64((value ^ _RUN) + part(x[sure], y[sure]))
-                elif len(sure):
-                    x2, y2 = edges[k + 1]
-                    value = mix64(value + part(x[sure], x2[sure]))
-                    values[v] = mix64((value ^ _PAIR) + part(y2[sure], y[sure]))
-                if not k:
-                    out[v][rest] = mix64(part(x[rest], y[rest]) ^ _SIDE)
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        out, begin = [], self.begin[which]
+        for half, names in enumerate(self.names):
+            size = 1
+            while 2 * size <= self.length:
+                names = _joined(names[:-size], names[size:], half, size)
+                size *= 2
+            out.append(_joined(names[begin], names[begin + self.length - size], half, self.length))
         return out[0], out[1]
 
 

@@ -79,10 +79,10 @@ def test_agreement_estimates_weighted_jaccard():
 
 def test_signature_depends_on_the_document_alone():
     texts = ["a b c d e f", "a b", "", "the same the same the same the same the same words", None]
-    doc, element, weight = nd.shingles(texts)
+    doc, element, weight, _ = nd.shingles(texts)
     every = nd.bag_minhash(doc, element, weight, len(texts))
     for i, t in enumerate(texts):
-        d, e, w = nd.shingles([t])
+        d, e, w, _ = nd.shingles([t])
         assert Counter(w.tolist()) == Counter(multiset(t).values())
         assert (nd.bag_minhash(d, e, w, 1)[0] == every[i]).all()
 
@@ -113,6 +113,17 @@ def test_classes_match_brute_force(spark, monkeypatch):
     check(spark, docs)
 
 
+def thue_morse(n, swap=False):
+    """``n`` letters such that it and its swapped form collide in every polynomial hash modulo a power of two."""
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(n))
+
+
+def test_different_long_words_are_no_near_copies(spark):
+    for n in (1024, 4096):
+        check(spark, [(1, thue_morse(n)), (2, thue_morse(n, True)), (3, f"one two three four {thue_morse(n)}"), (4, f"one two three four {thue_morse(n, True)}")])
+    check(spark, [(1, "x" * 15), (2, "x" * 16), (3, "x" * 17), (4, "x" * 15 + "\x00"), (5, "x" * 300_000), (6, "x" * 300_001)])
+
+
 def test_empty(spark):
     check(spark, [])
     check(spark, [(1, None), (2, "")])

@@ -66,6 +66,59 @@ def test_copies_and_long_texts(spark, monkeypatch):
     check(spark, docs, 50)
 
 
+def thue_morse(n, swap=False):
+    """``n`` letters such that it and its swapped form collide in every polynomial hash modulo a power of two."""
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [9, 15, 16, 1024, 8192])
+def test_windows_that_differ_in_one_long_word_stay(spark, size):
+    rest = " ".join(f"w{i}" for i in range(49))
+    check(spark, [(1, f"{thue_morse(size)} {rest}"), (2, f"{thue_morse(size, True)} {rest}"), (3, f"{rest} {thue_morse(size)}"), (4, f"{rest} {thue_morse(size, True)}")], 50)
+
+
+def test_long_windows_over_two_words(spark):
+    """Windows of 1,024 words that follow the same pattern with their two words swapped."""
+    docs = [(i, " ".join(thue_morse(1024, i % 2)) + (" a" * (i // 2))) for i in range(1, 5)]
+    check(spark, docs, 1024)
+
+
+def test_names_of_different_words_differ():
+    rng = random.Random(9)
+    words = {thue_morse(n, s) for n in (1, 8, 15, 16, 17, 1024) for s in (False, True)} | {rng.randbytes(rng.randrange(1, 24)).hex() for _ in range(5000)} | {"a" * n for n in range(1, 40)}
+    data = " ".join(sorted(words)).encode()
+    names, seconds, starts, _ = sub.words_of(blocks.Block([1], np.array([0]), np.array([len(data)]), np.frombuffer(data, np.uint8)))
+    assert len(set(zip(names.tolist(), seconds.tolist()))) == len(words) == len(starts)
+    assert len(set(names.tolist())) == len(set(seconds.tolist())) == len(words)
+
+
+@pytest.mark.parametrize("half", [0, 1])
+def test_colliding_half_names_remove_nothing(spark, monkeypatch, half):
+    """Either half of a name may be worthless: the other one tells windows apart."""
+    true = sub.words_of
+
+    def poor(block):
+        found = list(true(block))
+        found[half] = found[half] & np.uint64(3)
+        return tuple(found)
+
+    monkeypatch.setattr(sub, "words_of", poor)
+    rng = random.Random(11)
+    words = [rng.choice("abcdefgh") for _ in range(60)]
+    texts = [words, [*words[:30], "x", *words[31:]], [*words[:30], "y", *words[31:]], words[:55] + ["z"]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    blocks_ = sub.stage_blocks(df).toArrow()
+    windows = sub.Windows(blocks.open_block(blocks_), 20)
+    spelled = list(zip(*(x.tolist() for x in windows.spellings(np.arange(len(windows.begin))))))
+    split = [t for d in blocks_["doc_ids"][0].as_py() for t in [texts[d]]]
+    seen = {}
+    for p, s in zip(windows.begin, spelled):
+        d = windows.docs[p]
+        w = tuple(split[d][p - windows.first_word[d] :][:20])
+        assert seen.setdefault(s, w) == w
+
+
 def test_empty(spark):
     check(spark, [], 50)
     check(spark, [(1, None), (2, "")], 50)
