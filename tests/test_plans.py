@@ -4,10 +4,10 @@ import os
 
 import pytest
 
-import __spark_entry__ as driver
+from flowtables.harness import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
+QUERIES = all_queries()
 # Queries that run whole jobs: their result is a read of the table the job wrote.
 JOBS = {"contacts_flow", "contact_acks_flow", "updates_from_files_flow", "updates_from_table_flow", "hires_flow", "monthly_loads", "stream_autoingest"}
 
