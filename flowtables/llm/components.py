@@ -2,7 +2,9 @@
 
 Every round replaces links by links to smaller nodes until each component is a star around
 its smallest node. A round is two groupings (with map-side minima) and two joins, whatever
-the shape of the components; hubs are never gathered in one place.
+the shape of the components. A node with very many links, a hub, would draw them all into
+one task of a join; hubs are few by definition, so they are broadcast and their links stay where
+they are.
 """
 
 from __future__ import annotations
@@ -12,18 +14,32 @@ from pyspark.sql import DataFrame, functions as F
 from flowtables.llm.common import staged
 
 
-def _large(links: DataFrame) -> DataFrame:
+#: A node is a hub only with more than this part of all links, so that at most so many are broadcast.
+HUB_PART = 10_000
+#: And with more links than this, however few there are.
+HUB_LINKS = 200
+
+
+def _with_least(links: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """``links`` (a, b) with the smallest node ``m`` around a; ``least`` has (a, m, n), n being the links of a."""
+    limit = max(HUB_LINKS, total // HUB_PART)
+    hubs = F.broadcast(least.where(F.col("n") > limit).select("a", "m"))
+    rest = least.where(F.col("n") <= limit).select("a", "m")
+    return links.join(hubs, "a").unionByName(links.join(hubs, "a", "left_anti").join(rest, "a"))
+
+
+def _large(links: DataFrame, total: int) -> DataFrame:
     """Links of every node's larger neighbours to the smallest node around it."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+    return _with_least(both.where("b > a"), least, total).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
-def _small(links: DataFrame) -> DataFrame:
+def _small(links: DataFrame, total: int) -> DataFrame:
     """Links of every node and its smaller neighbours to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    other = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    other = _with_least(down, least, total).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return other.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
@@ -33,9 +49,9 @@ def components(links: DataFrame) -> DataFrame:
     Links of a node with itself and repeated links do nothing; no links give no rows.
     """
     links = staged(links.where("a <> b").select("a", "b"), "links")
-    before = None
-    while True:
-        links = staged(_small(_large(links)), "stars")
+    before, total = None, links.count()
+    while total:
+        links = staged(_small(staged(_large(links, total), "large-stars"), total), "stars")
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:
             break
