@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from flowtables.llm import decontamination as dc, near_dedup as nd, queries
+from flowtables.llm import components as components_module, decontamination as dc, near_dedup as nd, queries
 from flowtables.llm.components import components
 
 
@@ -87,9 +87,11 @@ def test_signature_depends_on_the_document_alone():
         assert (nd.bag_minhash(d, e, w, 1)[0] == every[i]).all()
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "HUB_LINKS", 5)
+    monkeypatch.setattr(components_module, "HUB_PART", 50)
     rng = random.Random(4)
-    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 460)] + [(5, 5)]
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 460)] + [(470, i) for i in range(471, 499)] + [(i, 499) for i in range(460, 470)] + [(5, 5)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a int, b int")).collect()}
     tops = union_find(500, links)
     used = {x for a, b in links if a != b for x in (a, b)}
