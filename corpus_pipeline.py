@@ -2,9 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir), works on all documents its predecessor kept, and
 calls one operator of ``flowtables.llm``. All but the last return the columns of documents.
-What becomes of a row depends on its own id and text: rows that share an id, or have none, are
-judged each by its text. Rows with equal ids and equal texts stay or go together. Empty inputs
-give empty outputs.
+A stage that decides about single rows numbers them first and writes them with their
+numbers, so that rows which share an id, or have none, are judged each by itself, and a
+row that was delivered twice stays once. Empty inputs give empty outputs.
 """
 
 from __future__ import annotations
@@ -19,20 +19,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _sha(docs: DataFrame):
-    return F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a unique number in a column of its own, written, so that numbers stay; and the column's name."""
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "pipeline-rows"), name
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """One row for each id and text: a unique ``row_key``, doc_id, text and its sha. Written, so that keys stay."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("sha", F.sha2("text", 256))
-    return staged(rows.dropDuplicates(["doc_id", "sha"]).withColumn("row_key", F.monotonically_increasing_id()), "pipeline-rows")
-
-
-def _matching(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with the ids and shas of ``rows``."""
-    named = rows.select(F.col("doc_id").alias("row_id"), F.col("sha").alias("row_sha"))
-    return docs.join(named, docs["doc_id"].eqNullSafe(named["row_id"]) & (_sha(docs) == named["row_sha"]), how)
+def _chosen(rows: DataFrame, key: str, numbers: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose number is (or isn't) among ``numbers`` (row_number), as they came."""
+    return rows.join(numbers.select(F.col("row_number").alias(key)), key, how).drop(key)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,28 +38,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
-    snapshot, incoming = exact_dedup.halves(docs)
-    kept = exact_dedup.exact_dedup(snapshot, incoming).where("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256").distinct()
-    mine = (docs["doc_id"].eqNullSafe(kept["kept_id"])) & (F.sha2(F.coalesce(docs["text"], F.lit("")), 256) == kept["text_sha256"])
-    return docs.join(kept, mine, "left_semi")
+    """Of equal texts one row with the largest id."""
+    rows, key = _numbered(docs)
+    snapshot, incoming = exact_dedup.halves(rows)
+    judged = exact_dedup.exact_dedup(snapshot, incoming, row_col=key)
+    return _chosen(rows, key, judged.where("NOT kept").select(F.col("row_key").alias("row_number")), "left_anti").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, that with the smallest id; without ids, one of them."""
-    rows = _keyed(docs)
-    judged = near_dedup.near_duplicates(rows.select("row_key", "text"), threshold=0.8, size=5, id_col="row_key")
-    classes = judged.select(F.col("doc_id").alias("row_key"), "class_id").join(rows.select("row_key", "doc_id", "sha"), "row_key")
-    first = classes.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")).alias("first"))
-    return _matching(docs, first.select("first.doc_id", "first.sha"), "left_semi")
+    """One row of each class of near duplicates, one with the smallest id (null last)."""
+    rows, key = _numbered(docs)
+    judged = near_dedup.near_duplicates(rows, threshold=0.8, size=5, id_col=key)
+    ids = rows.select(F.col(key).alias("row_number"), F.col("doc_id").cast("long").alias("row_id"))
+    classes = judged.select(F.col("doc_id").alias("row_number"), "class_id").join(ids, "row_number")
+    first = classes.groupBy("class_id").agg(F.min(F.struct(F.col("row_id").isNull().alias("no_id"), "row_id", "row_number")).alias("first"))
+    return _chosen(rows, key, first.select("first.row_number")).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of ten words of a benchmark item."""
-    rows = _keyed(docs)
-    judged = decontamination.decontaminate(rows.select("row_key", "text"), _table(spark, sf_dir, "benchmark"), window=10, id_col="row_key")
-    hit = judged.where("contaminated").select(F.col("doc_id").alias("row_key")).join(rows.select("row_key", "doc_id", "sha"), "row_key")
-    return _matching(docs, hit, "left_anti")
+    rows, key = _numbered(docs)
+    judged = decontamination.decontaminate(rows, _table(spark, sf_dir, "benchmark"), window=10, id_col=key)
+    return _chosen(rows, key, judged.where("contaminated").select(F.col("doc_id").alias("row_number")), "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
