@@ -2,9 +2,9 @@
 
 Every round replaces links by links to smaller nodes until each component is a star around
 its smallest node. A round is two groupings (with map-side minima) and two joins, whatever
-the shape of the components. A node with very many links, a hub, would draw them all into
-one task of a join; hubs are few by definition, so they are broadcast and their links stay where
-they are.
+the shape of the components. A node with more than a million links, a hub, would draw them all
+into one task of a join; hubs are few by definition, so they are broadcast and their links stay
+where they are.
 """
 
 from __future__ import annotations
@@ -16,12 +16,14 @@ from flowtables.llm.common import staged
 
 #: A node is a hub only with more than this part of all links, so that at most so many are broadcast.
 HUB_PART = 10_000
-#: And with more links than this, however few there are.
-HUB_LINKS = 200
+#: And with more links than this, which a task of a join takes in its stride (some 50 MB).
+HUB_LINKS = 1_000_000
 
 
 def _with_least(links: DataFrame, least: DataFrame, total: int) -> DataFrame:
     """``links`` (a, b) with the smallest node ``m`` around a; ``least`` has (a, m, n), n being the links of a."""
+    if total <= HUB_LINKS:
+        return links.join(least.select("a", "m"), "a")
     limit = max(HUB_LINKS, total // HUB_PART)
     hubs = F.broadcast(least.where(F.col("n") > limit).select("a", "m"))
     rest = least.where(F.col("n") <= limit).select("a", "m")
@@ -51,7 +53,7 @@ def components(links: DataFrame) -> DataFrame:
     links = staged(links.where("a <> b").select("a", "b"), "links")
     before, total = None, links.count()
     while total:
-        links = staged(_small(staged(_large(links, total), "large-stars"), total), "stars")
+        links = staged(_small(_large(links, total), total), "stars")
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:
             break
