@@ -20,7 +20,7 @@ from flowtables.sinks.exports import export_csv, export_json_array
 from flowtables.sinks.tables import append_table, create_view, ensure_table, prune, replace_period, replace_table, rewrite_if_nonempty
 from flowtables.sources.files import json_schema, list_files, project_json, project_variant, read_json_array, read_typed_csv
 from flowtables.sources.tables import snapshot_period, snapshot_table, union_periods
-from flowtables.streaming.ingest import ingest_files_stream
+from flowtables.streaming.ingest import ingest_files_stream, read_landed
 
 ORDER_FILE = schemas.struct_of("""
     o_orderkey bigint
@@ -95,10 +95,44 @@ def stream_autoingest(spark: SparkSession, sf: str) -> DataFrame:
         texts = events.filter(arrived).select(*[F.col(c).cast("string").alias(c) for c in events.columns])
         texts.write.mode("append").options(header=True, nullValue="", escape='"').csv(folder)
         ingest_files_stream(spark, folder, schema, checkpoint, target)
-    landed = spark.read.parquet(target)
+    landed = read_landed(spark, target)
     return landed.withColumn("ts", F.col("ts").cast("timestamp_ntz")).withColumn("value", F.col("value").cast("double"))
 
 
+@query("stream_multiline", sql=r"""
+    WITH e AS (SELECT CAST(event_id AS VARCHAR) AS event_id, ts,
+                      event_type || CASE WHEN event_id % 3 = 0 THEN E'\n"in", the middle' ELSE '' END AS event_type, value,
+                      props || CASE event_id % 5 WHEN 0 THEN E'\r\n\nat the end' ELSE '' END AS props,
+                      event_id % 8 < 2 AND event_id % 97 < 3 AS torn FROM events)
+    SELECT event_id, ts, event_type, value, props, false AS rejected FROM e
+    UNION ALL SELECT 'torn-' || event_id, NULL, NULL, NULL, '"never closed', true FROM e WHERE torn
+""")
+def stream_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of several lines, and in some files lines with a quote that is never closed."""
+    k = F.col("event_id")
+
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    kind = F.concat("event_type", F.when(k % 3 == 0, '\n"in", the middle').otherwise(""))
+    props = F.concat("props", F.when(k % 5 == 0, "\r\n\nat the end").otherwise(""))
+    line = F.concat_ws(",", k.cast("string"), F.col("ts").cast("string"), quoted(kind), F.col("value").cast("string"), quoted(props))
+    torn = F.when((k % 8 < 2) & (k % 97 < 3), F.concat(F.lit("\ntorn-"), k.cast("string"), F.lit(',,,,"never closed'))).otherwise("")
+    rows = table(spark, sf, "events").select("ts", (k % 8).cast("int").alias("part"), k.alias("n"), F.concat(line, torn).alias("value"))
+    folder, checkpoint, target = (scratch_path(spark, n) for n in ("inbox", "checkpoint", "landing"))
+    schema = schemas.struct_of("event_id string\nts string\nevent_type string\nvalue string\nprops string")
+    heads = spark.range(8).select(F.col("id").cast("int").alias("part"), F.lit(-1).cast("long").alias("n"), F.lit(",".join(schema.names)).alias("value"))
+    for early in (True, False):
+        part = rows.filter((F.col("ts") < ntz("2024-01-16 00:00:00")) == early).drop("ts").unionByName(heads)
+        part.repartition("part").sortWithinPartitions("part", "n").select("part", "value").write.mode("append").partitionBy("part").text(folder)
+        ingest_files_stream(spark, folder, schema, checkpoint, target)
+    good, bad = read_landed(spark, target).withColumn("rejected", F.lit(False)), read_landed(spark, f"{target}_rejected")
+    # A line that was set aside is one text; here it is cut where its first field ends.
+    cut = bad.select(F.substring_index("line", ",", 1).alias("event_id"), F.lit(None).cast("string").alias("ts"), F.lit(None).cast("string").alias("event_type"),
+                     F.lit(None).cast("string").alias("value"), F.substring_index("line", ",", -1).alias("props"), F.lit(True).alias("rejected"))
+    return good.unionByName(cut).withColumn("ts", F.col("ts").cast("timestamp_ntz")).withColumn("value", F.col("value").cast("double"))
+
+
 @query("union_period_tables", sql="SELECT *, 'loaded then skipped' AS status FROM orders")
 def union_period_tables(spark: SparkSession, sf: str) -> DataFrame:
     db, orders = own_database(spark, "periods"), table(spark, sf, "orders")
@@ -180,7 +214,7 @@ def late_invoices(spark: SparkSession, sf: str) -> DataFrame:
             export_csv(schemas.pad_to(rows, schema), folder, f"A_{kind}_{period}.csv", single_file=False, null_value="NULL")
     cfg = RevenueConfig(
         regions=(Region("A", "SYS-A"),), landing=folder, amount_type=CENTS, header_table=f"{db}.invoice_header", item_table=f"{db}.invoice_item",
-        line_detail=f"{db}.line_detail", line_summary=f"{db}.line_summary",
+        line_detail=f"{db}.line_detail", line_index=f"{db}.line_index", line_summary=f"{db}.line_summary",
     )
     for as_of, month in ((date(2026, 3, 1), date(2026, 2, 1)), (date(2026, 4, 1), date(2026, 3, 1))):
         load_files(spark, cfg, as_of)

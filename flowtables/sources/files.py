@@ -62,9 +62,8 @@ def keep_blank(df: DataFrame) -> DataFrame:
 
 
 def landing_options() -> dict[str, str]:
-    """CSV options of the landing feed: header, optional quotes, nothing trimmed."""
+    """CSV options of a record of the landing feed: optional quotes, nothing trimmed."""
     return {
-        "header": "true",
         "quote": '"',
         "escape": '"',
         "ignoreLeadingWhiteSpace": "false",
@@ -75,17 +74,25 @@ def landing_options() -> dict[str, str]:
 
 
 def landing_schema(schema: T.StructType) -> T.StructType:
-    """Text fields of a landing file, and the whole line of a row that does not fit them."""
+    """Text fields of a landing record, and the whole text of one that does not fit them."""
     return T.StructType([*text_schema(schema).fields, T.StructField(_CORRUPT, T.StringType())])
 
 
+def parsed_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fields of ``records`` (record, fits); one that doesn't fit keeps its whole text beside what could be read of it."""
+    wide = landing_schema(schema)
+    one = F.from_csv("record", ", ".join(f"`{n}` string" for n in wide.names), landing_options())
+    bad = F.when(~F.col("fits") | F.col(f"r.{_CORRUPT}").isNotNull(), F.col("record"))
+    return records.select(one.alias("r"), "record", "fits").select(*[F.col(f"r.`{n}`").alias(n) for n in wide.names[:-1]], bad.alias(_CORRUPT))
+
+
 def landed_rows(rows: DataFrame) -> DataFrame:
     """Rows that fit, every field as read; the landing rule."""
     return keep_blank(rows.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT))
 
 
 def rejected_lines(rows: DataFrame) -> DataFrame:
-    """Lines that don't fit, as ``line`` beside what was read of their fields."""
+    """Records that don't fit, as ``line`` beside what was read of their fields."""
     return rows.filter(F.col(_CORRUPT).isNotNull()).withColumnRenamed(_CORRUPT, "line")
 
 

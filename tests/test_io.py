@@ -3,6 +3,7 @@
 import csv
 import json
 import os
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowtables import schemas, session
 from flowtables.sinks import exports, tables
-from flowtables.sources import files, tables as periods
+from flowtables.sources import files, records, tables as periods
 from flowtables.streaming import ingest
 
 PRICES = schemas.struct_of("id bigint\nname string\nprice decimal(18,2)\nday date\nat timestamp_ntz")
@@ -215,7 +216,7 @@ def test_stream_loads_each_file_once(spark, folder):
 
     def run():
         ingest.ingest_files_stream(spark, f"{folder}/in", STATUS, f"{folder}/cp", f"{folder}/out")
-        return rows(spark.read.parquet(f"{folder}/out"))
+        return rows(ingest.read_landed(spark, f"{folder}/out"))
 
     arrive("a.csv", '1,\n2," kept blank "\n')
     assert run() == [("1", ""), ("2", " kept blank ")]
@@ -224,6 +225,93 @@ def test_stream_loads_each_file_once(spark, folder):
     assert len(run()) == 3
 
 
+def by_hand(text, width):
+    """Records of a file by the reader of damaged files."""
+    reader, out = records.RuleReader(width), []
+    for line in text.removesuffix("\n").split("\n"):
+        out += reader.line(line)
+    return (out + reader.end())
+
+
+def landed(spark, folder, texts, schema):
+    """(rows, rejected records) of files that arrive at once, in one stream."""
+    for i, text in enumerate(texts):
+        put(f"{folder}/in/{i}.csv", text)
+    ingest.ingest_files_stream(spark, f"{folder}/in", schema, f"{folder}/cp", f"{folder}/out")
+    return rows(ingest.read_landed(spark, f"{folder}/out")), rows(ingest.read_landed(spark, f"{folder}/out_rejected").select("line"))
+
+
+def split(spark, texts, width, chunk):
+    """Records of texts whose lines lie in chunks of so many lines; chunks have no order among each other."""
+    lines = []
+    for i, text in enumerate(texts):
+        own = text.removesuffix("\n").split("\n") if text else []
+        lines += [(v, f"f{i}", k // chunk * 100, 1000 * (7 * (k // chunk) % 5) + k) for k, v in enumerate(own)]
+    made = spark.createDataFrame(lines, "value string, file string, chunk long, at long").repartition(3)
+    return sorted(tuple(r) for r in records.split_records(made, width).collect())
+
+
+THREE = schemas.struct_of("a string\nb string\nc string")
+CASES = {
+    'h,h,h\n1,Active,"line one\nline two"\n2,x,y\n': ([("1", "Active", "line one\nline two"), ("2", "x", "y")], []),
+    'h,h,h\n3,"two\nlines",x\n\n"4\n""4""\r\n",,""\r\n': ([("3", "two\nlines", "x"), ('4\n"4"\r\n', "", "")], []),
+    '"h\nh",h,h\n1,2,3\n': ([("1", "2", "3")], []),
+    # A quote that is never closed costs its line, wherever the next quote stands.
+    'h,h,h\n1,"open,x\n2,b,c\n3,"ok",z\n': ([("2", "b", "c"), ("3", "ok", "z")], ['1,"open,x']),
+    'h,h,h\n1,a,"open\n2,b,c\n': ([("2", "b", "c")], ['1,a,"open']),
+    'h,h,h\n1,a,"open\n2,b,"two\nlines"\n3,c,"open too': ([("2", "b", "two\nlines")], ['1,a,"open', '3,c,"open too']),
+    # What closes the quote by chance has too few fields.
+    'h,h,h\n1,"open,x\n2,b,c\n3,x,"\n4,d,e': ([("2", "b", "c"), ("4", "d", "e")], ['1,"open,x', '3,x,"']),
+    # Quotes within plain fields are letters.
+    'h,h,h\n1,5" pipe,x\n2,"a\nb",y\n3,3" nail,z\n': ([("1", '5" pipe', "x"), ("2", "a\nb", "y"), ("3", '3" nail', "z")], []),
+    'h,h,h\n1,a\n1,a,b,c\n1,"a"b,c\n2,"a" ,c\n': ([("2", "a", "c")], ['1,"a"b,c', "1,a", "1,a,b,c"]),
+    "h,h,h\n": ([], []),
+    "": ([], []),
+}
+
+
+def test_records_of_several_lines(spark, folder):
+    want = [x for good, _ in CASES.values() for x in good], [(x,) for _, bad in CASES.values() for x in bad]
+    assert landed(spark, folder, list(CASES), THREE) == (sorted(want[0]), sorted(want[1]))
+    for text, (good, bad) in CASES.items():
+        assert sorted(r for r, fit in by_hand(text, 3) if not fit) == sorted(bad), text
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3])
+def test_records_across_chunks(spark, chunk):
+    want = sorted(r for text in CASES for r in by_hand(text, 3))
+    assert split(spark, list(CASES), 3, chunk) == want
+
+
+def test_both_ways_give_the_same_records(spark, monkeypatch):
+    """Random files without damage, by prefix sums and by rules; and by rules when a record is too long."""
+    rng = random.Random(3)
+    want = []
+
+    def made():
+        out = ["h,h"]
+        for _ in range(rng.randrange(30)):
+            cells = ["".join(rng.choice('ab, "\n') for _ in range(rng.randrange(12))) for _ in range(2)]
+            out.append(",".join('"' + c.replace('"', '""') + '"' for c in cells))
+            want.append((out[-1], True))
+        return "\n".join(out) + "\n"
+
+    texts = [made() for _ in range(12)]
+    assert split(spark, texts, 2, 4) == sorted(want) == sorted(r for t in texts for r in by_hand(t, 2))
+    # A record that is too long for the sums sends its file the other way.
+    monkeypatch.setattr(records, "RECORD_BYTES", 12)
+    assert split(spark, texts, 2, 4) == sorted(want)
+
+
+def test_a_batch_is_parsed_once(spark, folder):
+    seen = []
+    for i in range(3):
+        put(f"{folder}/in/{i}.csv", f'id,name\n{i},"two\nlines"\n{i},"broken\n')
+    ingest.for_new_files(spark, f"{folder}/in", STATUS, f"{folder}/cp", lambda df, n: seen.append(rows(df)), lambda n: seen.append(n))
+    assert seen == [3, [(str(i), "two\nlines") for i in range(3)]]
+    assert spark.read.parquet(f"{folder}/cp_rejected").count() == 3
+
+
 def test_hash_delta_stream(spark, db, folder):
     def run():
         ingest.hash_delta_stream(spark, f"{folder}/in", STATUS, f"{folder}/cp", "hist", ["id", "name"])
