@@ -63,9 +63,14 @@ def month_of_text(text: ColumnLike) -> Column:
 
 
 def closed_months_only(df: DataFrame, as_of: date, year: str = "INVOICE_YEAR", month: str = "INVOICE_MONTH") -> DataFrame:
-    """Keep rows whose month, held as year and month text, ended before ``as_of``."""
-    first_day = F.make_date(F.col(year), month_of_text(month), F.lit(1))
-    return df.filter(first_day < F.lit(month_start(as_of)))
+    """Keep rows whose month, held as year and three-letter month text, ended before ``as_of``.
+
+    Stored values are compared with literals, so the condition prunes partitions and row groups.
+    """
+    names = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+    earlier = F.col(year) < F.lit(as_of.year)
+    this_year = (F.col(year) == F.lit(as_of.year)) & F.col(month).isin(*names[: as_of.month - 1]) if as_of.month > 1 else F.lit(False)
+    return df.filter((earlier & F.col(month).isin(*names)) | this_year)
 
 
 def in_period(day: date, year: str = "INVOICE_YEAR", month: str = "INVOICE_MONTH") -> Column:

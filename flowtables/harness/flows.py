@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowtables import schemas
-from flowtables.harness.registry import ntz, own_database, query, table
-from flowtables.plans import contacts, hires
-from flowtables.plans.rules import ContactsConfig, HiresConfig, NameRules
+from flowtables.functions.dates import month_text
+from flowtables.harness.billing import CUTOVER, NAMES, REVENUE_SQL, companies, headers, items, report_result, snapshots
+from flowtables.harness.registry import money, ntz, own_database, query, table
+from flowtables.operators.aggregates import CENTS
+from flowtables.plans import contacts, hires, revenue
+from flowtables.plans.rules import ContactsConfig, HiresConfig, NameRules, Region, RevenueConfig
 from flowtables.session import scratch_path
+from flowtables.sinks.exports import export_csv
 from flowtables.sinks.tables import ensure_table, replace_table
 from flowtables.sources.files import json_schema, read_json_array
 
@@ -41,7 +45,7 @@ def contact_objects(spark: SparkSession, sf: str) -> DataFrame:
 def company_rows(spark: SparkSession, sf: str, regions: int) -> DataFrame:
     nation = table(spark, sf, "nation").filter(F.col("n_regionkey") < regions)
     return nation.select(
-        F.col("n_nationkey").cast("string").alias("ID"), F.concat(F.lit("Acme Care ("), "n_name", F.lit(" & Co)")).alias("PROPERTY_NAME"),
+        F.col("n_nationkey").cast("string").alias("ID"), F.concat(F.lit("Unit 7: ("), "n_name", F.lit(" & Co)")).alias("PROPERTY_NAME"),
         F.when(F.col("n_regionkey") < 2, "FILE").otherwise("TABLE").alias("PROPERTY_ROSTER_SYSTEM"),
         F.lit("FALSE").alias("IS_DELETED"), F.lit("Franchisee").alias("PROPERTY_TYPE"),
     )
@@ -57,7 +61,7 @@ def run_contacts(spark: SparkSession, sf: str) -> str:
     """Two runs of ingesting and sending; the second brings all contacts and all companies."""
     db, inbox = own_database(spark, "contacts"), scratch_path(spark, "contacts-in")
     cfg = ContactsConfig(
-        names=NameRules(strip_patterns=("Acme [Cc]are |ACM ",)), inbox=inbox, file_glob="*.txt", file_part="part-",
+        names=NameRules(strip_patterns=("(?:Unit|Kiosk) [0-9]+: ",)), inbox=inbox, file_glob="*.txt", file_part="part-",
         whole_file_arrays=False, outbox=scratch_path(spark, "contacts-out"), ledger=f"{db}.ledger", contacts=f"{db}.contacts",
         companies=f"{db}.company", log=f"{db}.log", outbound=f"{db}.outbound",
     )
@@ -244,3 +248,54 @@ def hires_flow(spark: SparkSession, sf: str) -> DataFrame:
     }
     return spark.table(cfg.target).select(*[F.col(old).alias(new) for new, old in wanted.items()])
 
+
+
+# ------------------------------------------------------------------ revenue
+
+REVENUE_RUNS = (datetime(2001, 5, 15, 8), datetime(2001, 6, 15, 8))
+
+
+@query("revenue_jobs_flow", sql=f"""WITH {REVENUE_SQL}
+    SELECT company_name, nullif(report_name, '') AS report_name, roster_system, invoice_year, invoice_month, care_type, funder_type, category,
+           amount, hours, region, status, report_name IS NULL OR report_name = '' AS exception
+    FROM master
+""")
+def revenue_jobs_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Two monthly runs of the whole chain, then loads that are skipped and a load merged again: what the report tables hold."""
+    db, folder = own_database(spark, "revenue"), scratch_path(spark, "revenue")
+    names = ("header_table", "item_table", "line_detail", "line_index", "line_summary", "snapshot_detail", "snapshot_summary", "snapshot_state",
+             "snapshot_applied", "hours_summary", "companies", "revenue", "report", "exceptions")
+    cfg = RevenueConfig(
+        names=NAMES, regions=(Region("A", "LINES"),), landing=folder, amount_type=CENTS, cutover_year=CUTOVER, default_system="SNAPS",
+        legacy_dated=(f"{db}.legacy",), snapshot_source=f"{db}.shared_", snapshot_prefix=f"{db}.snap_", visit_source=f"{db}.sharedvisit_",
+        visit_prefix=f"{db}.visit_", **{n: f"{db}.{n}" for n in names},
+    )
+    orders = table(spark, sf, "orders")
+    replace_table(companies(spark, sf), cfg.companies)
+    replace_table(
+        orders.select(
+            F.col("o_orderpriority").alias("COMPANY_NAME"), F.lit("LEGACY").alias("ROSTER_SYSTEM"), F.year("o_orderdate").alias("INVOICE_YEAR"),
+            month_text(F.year("o_orderdate"), F.month("o_orderdate")).alias("INVOICE_MONTH"), F.lit("legacy").alias("CARE_TYPE"),
+            money("o_totalprice").alias("TOT_AMT_INVOICED"),
+        ),
+        f"{db}.legacy",
+    )
+    visits = table(spark, sf, "events").select(
+        F.col("user_id").cast("decimal(38,0)").alias("OFFICE_ID"), F.col("ts").cast("date").alias("PERIOD_END"),
+        *[F.col("value").cast("decimal(18,4)").alias(c) for c in ("CUSTOMERS", "PERIOD_VISITS", "CHARGED_HOURS")], F.col("event_id").alias("n"),
+    )
+    # Every other invoice comes with the second month, dated in any month of all years.
+    for odd, as_of in enumerate(REVENUE_RUNS):
+        month = date(as_of.year, as_of.month - 1, 1)
+        for kind, rows, schema in (("header", headers(spark, sf), schemas.INVOICE_HEADER), ("item", items(spark, sf), schemas.INVOICE_ITEM)):
+            own = schemas.pad_to(rows.filter(F.col("invoiceid") % 2 == odd), schema)
+            export_csv(own, folder, f"A_{kind}_{month:%Y_%m}.csv", single_file=False, null_value="NULL")
+        replace_table(snapshots(spark, sf).filter(F.col("INV_NO").cast("bigint") % 2 == odd), f"{db}.shared_{month.year}_{month.month}")
+        replace_table(visits.filter(F.col("n") % 2 == odd).drop("n"), f"{db}.sharedvisit_{month.year}_{month.month}")
+        for message in revenue.run_month(spark, cfg, as_of):
+            _expect(message)
+    _expect(revenue.load_files(spark, cfg, REVENUE_RUNS[0]), "SKIPPED")
+    _expect(revenue.refine_lines(spark, cfg, "A", date(2001, 4, 1), merge=True), "SUCCESS")
+    good = report_result(spark.table(cfg.report)).withColumn("exception", F.lit(False))
+    bad = report_result(spark.table(cfg.exceptions)).withColumn("exception", F.lit(True))
+    return good.unionByName(bad, allowMissingColumns=True)

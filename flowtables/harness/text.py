@@ -13,28 +13,28 @@ from flowtables.harness.registry import number, query, table
 from flowtables.operators.filters import split_matched, unlike
 from flowtables.operators.joins import lookup_by_key, map_codes
 
-STRIP = ["Acme [Cc]are |ACM "]
-DROP = [" Rostered"]
-KEY_DROP = ["Acme Care", "Rostered"]
+STRIP = ["(?:Unit|Kiosk) [0-9]+: "]
+DROP = [" /archived"]
+KEY_DROP = ["Unit 7:", "/archived"]
 
 # Names as they come from two systems: prefixed, bracketed, with entities and suffix words.
 RAW_NAMES = """
     SELECT 'supplier' AS kind, s_suppkey AS id,
-           concat('Acme Care (', s_name, ') &amp; Sons Rostered ') AS raw FROM supplier
+           concat('Unit 7: (', s_name, ') &amp; Sons /archived ') AS raw FROM supplier
     UNION ALL
     SELECT 'part' AS kind, p_partkey AS id,
-           concat('ACM ', p_name, ' & Co - ', p_brand, ' Acme care ') AS raw FROM part
+           concat('Kiosk 31: ', p_name, ' & Co - ', p_brand, ' Unit 12: ') AS raw FROM part
 """
 
 
 def raw_names(spark: SparkSession, sf: str) -> DataFrame:
     suppliers = table(spark, sf, "supplier").select(
         F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("id"),
-        F.concat(F.lit("Acme Care ("), "s_name", F.lit(") &amp; Sons Rostered ")).alias("raw"),
+        F.concat(F.lit("Unit 7: ("), "s_name", F.lit(") &amp; Sons /archived ")).alias("raw"),
     )
     parts = table(spark, sf, "part").select(
         F.lit("part").alias("kind"), F.col("p_partkey").alias("id"),
-        F.concat(F.lit("ACM "), "p_name", F.lit(" & Co - "), "p_brand", F.lit(" Acme care ")).alias("raw"),
+        F.concat(F.lit("Kiosk 31: "), "p_name", F.lit(" & Co - "), "p_brand", F.lit(" Unit 12: ")).alias("raw"),
     )
     return suppliers.unionByName(parts)
 
@@ -42,8 +42,8 @@ def raw_names(spark: SparkSession, sf: str) -> DataFrame:
 @query("clean_names", sql=f"""
     WITH raw_names AS ({RAW_NAMES}), cleaned AS (
         SELECT kind, id, trim(regexp_replace(regexp_replace(
-            replace(replace(raw, '&amp;', '&'), ' Rostered', ''),
-            'Acme [Cc]are |ACM ', '', 'g'), '[()-]', '', 'g')) AS display_name
+            replace(replace(raw, '&amp;', '&'), ' /archived', ''),
+            '(?:Unit|Kiosk) [0-9]+: ', '', 'g'), '[()-]', '', 'g')) AS display_name
         FROM raw_names)
     SELECT kind, id, display_name,
            upper(replace(replace(trim(display_name), ' & ', ' AND '), ' ', '')) AS soft_key
@@ -57,7 +57,7 @@ def clean_names(spark: SparkSession, sf: str) -> DataFrame:
 @query("join_keys", sql=f"""
     WITH raw_names AS ({RAW_NAMES}), keyed AS (
         SELECT kind, id, raw, regexp_replace(replace(replace(replace(replace(
-            upper(trim(raw)), '&AMP;', 'AND'), '&', 'AND'), 'ACME CARE', ''), 'ROSTERED', ''),
+            upper(trim(raw)), '&AMP;', 'AND'), '&', 'AND'), 'UNIT 7:', ''), '/ARCHIVED', ''),
             '[^A-Z0-9]', '', 'g') AS hard_key
         FROM raw_names)
     SELECT kind, id, hard_key, trim(split_part(raw, '-', 1)) AS first_part
@@ -154,13 +154,13 @@ def exception_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("lookup_display_name", sql="""
     WITH companies AS (
-        SELECT n_nationkey AS id, concat('Acme Care ', n_name) AS property_name, concat('PBI ', n_name) AS report_name,
+        SELECT n_nationkey AS id, concat('Unit 7: ', n_name) AS property_name, concat('PBI ', n_name) AS report_name,
                concat('Region ', CAST(n_regionkey AS VARCHAR), ' - lead') AS manager FROM nation
         UNION ALL
-        SELECT n_nationkey + 100, concat('ACM (', n_name, ')'), concat('PBI2 ', n_name),
+        SELECT n_nationkey + 100, concat('Kiosk 31: (', n_name, ')'), concat('PBI2 ', n_name),
                concat('Region ', CAST(n_regionkey AS VARCHAR), ' - lead') FROM nation WHERE n_regionkey = 3
     ), cleaned AS (
-        SELECT *, upper(trim(trim(regexp_replace(regexp_replace(property_name, 'Acme [Cc]are |ACM ', '', 'g'), '[()-]', '', 'g')))) AS k
+        SELECT *, upper(trim(trim(regexp_replace(regexp_replace(property_name, '(?:Unit|Kiosk) [0-9]+: ', '', 'g'), '[()-]', '', 'g')))) AS k
         FROM companies
     ), once AS (
         SELECT * FROM cleaned QUALIFY row_number() OVER (PARTITION BY k ORDER BY id DESC NULLS FIRST) = 1
@@ -173,11 +173,11 @@ def lookup_display_name(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation")
     manager = F.concat(F.lit("Region "), F.col("n_regionkey").cast("string"), F.lit(" - lead")).alias("manager")
     companies = nation.select(
-        F.col("n_nationkey").alias("id"), F.concat(F.lit("Acme Care "), "n_name").alias("property_name"),
+        F.col("n_nationkey").alias("id"), F.concat(F.lit("Unit 7: "), "n_name").alias("property_name"),
         F.concat(F.lit("PBI "), "n_name").alias("report_name"), manager,
     ).unionByName(
         nation.filter("n_regionkey = 3").select(
-            (F.col("n_nationkey") + 100).alias("id"), F.concat(F.lit("ACM ("), "n_name", F.lit(")")).alias("property_name"),
+            (F.col("n_nationkey") + 100).alias("id"), F.concat(F.lit("Kiosk 31: ("), "n_name", F.lit(")")).alias("property_name"),
             F.concat(F.lit("PBI2 "), "n_name").alias("report_name"), manager,
         )
     )

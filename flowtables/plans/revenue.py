@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,11 +20,15 @@ from flowtables.operators.filters import cutover, differs_or_null, flagged, spli
 from flowtables.operators.joins import lookup_by_key
 from flowtables.operators.merge import merge_upsert
 from flowtables.operators.windows import keep_latest, keep_latest_per_month, latest_first, movement
+from flowtables.plans.invoice_index import InvoiceIndex, months_of
+from flowtables.plans.movement_state import MovementState
 from flowtables.plans.rules import BILLED_TYPES, EXCLUDED_MANUAL_CODE, REPORT_COMPANIES, NameRules, RevenueConfig
 from flowtables.session import staging
-from flowtables.sinks.tables import LoadResult, change_table, done, ensure_table, replace_period, replace_table
+from flowtables.sinks.tables import (
+    LoadResult, balanced, change_table, count_rows, done, dynamic_overwrite, ensure_table, in_table_order, replace_period, replace_table,
+)
 from flowtables.sources.files import read_typed_csv
-from flowtables.sources.tables import load_all, snapshot_period, status_line, union_periods
+from flowtables.sources.tables import load_all, period_tables, snapshot_period, status_line, union_periods
 
 HEADER_COLUMNS = ("branchid", "branchname", "jobtypename", "manualinvoice", "workgroupid", "vat", "split")
 LINE_DETAIL_COLUMNS = """
@@ -31,6 +36,8 @@ LINE_DETAIL_COLUMNS = """
     MANUALINVOICE WORKGROUPID DISCOUNTPERCENT VAT SPLIT TYPE TOT_AMT_BILLING TOT_CNT_HOURS
 """.split()
 SUMMARY_KEYS = ("ROSTER_SYSTEM", "BRANCHID", "INVOICE_YEAR", "INVOICE_MONTH", "CATEGORY_OF_CARE", "FUNDER_TYPE")
+MONTH = ["INVOICE_YEAR", "INVOICE_MONTH"]
+SUMMARY_PARTITIONS = ["ROSTER_SYSTEM", "INVOICE_YEAR", "INVOICE_MONTH"]
 LINE_DETAIL = schemas.struct_of("""
     ROSTER_SYSTEM string
     BRANCHID decimal(38,0)
@@ -65,6 +72,10 @@ LINE_SUMMARY = schemas.struct_of("""
 """)
 
 
+#: What an invoice of the snapshots is known by.
+SNAPSHOT_KEYS = ["OFFICE_ID", "INV_NO", "CARE_TYPE", "FUNDER_TYPE"]
+
+
 # ---------------------------------------------------------------- transformations
 
 
@@ -132,12 +143,22 @@ def snapshot_detail(
 
     Names are cleaned after the latest snapshot per month is chosen, on fewer rows.
     """
-    keys = ["OFFICE_ID", "INV_NO", "CARE_TYPE", "FUNDER_TYPE"]
-    sent = invoices.filter(F.col("TOTAL_INVOICED").isNotNull()).select(
-        *keys, "OFFICE_NAME", "TERRITORY", "TOTAL_INVOICED", F.coalesce("INVOICE_SENT_DATE", "INVOICE_DATE").alias("SENT")
+    monthly = keep_latest_per_month(sent_invoices(invoices), SNAPSHOT_KEYS, "SENT").withColumn("SENT_MONTH", F.trunc("SENT", "MM"))
+    moved = movement(monthly, SNAPSHOT_KEYS, "SENT_MONTH", "TOTAL_INVOICED", "MOVED")
+    return described_movement(moved, names, system_rules, default_system, amount_type)
+
+
+def sent_invoices(invoices: DataFrame) -> DataFrame:
+    """Invoices with a total, and when they were sent."""
+    return invoices.filter(F.col("TOTAL_INVOICED").isNotNull()).select(
+        *SNAPSHOT_KEYS, "OFFICE_NAME", "TERRITORY", "TOTAL_INVOICED", F.coalesce("INVOICE_SENT_DATE", "INVOICE_DATE").alias("SENT")
     )
-    monthly = keep_latest_per_month(sent, keys, "SENT").withColumn("SENT_MONTH", F.trunc("SENT", "MM"))
-    moved = movement(monthly, keys, "SENT_MONTH", "TOTAL_INVOICED", "MOVED")
+
+
+def described_movement(
+    moved: DataFrame, names: NameRules, system_rules: Sequence[tuple[str, str]], default_system: str, amount_type: str
+) -> DataFrame:
+    """The columns of the movement detail."""
     return moved.select(
         label_by_like("OFFICE_NAME", system_rules, default_system).alias("ROSTER_SYSTEM"),
         "OFFICE_ID",
@@ -272,19 +293,6 @@ def load_shared(spark: SparkSession, cfg: RevenueConfig, as_of: date) -> str:
     return status_line(load_all(loads))
 
 
-def _months_of_load(stored: DataFrame, period: str) -> set[date]:
-    """Months in which invoices of one load have rows, in any load: few values."""
-    invoices = stored.filter(F.col("LOAD_PERIOD") == period).select("INVOICEID").distinct()
-    months = stored.join(invoices, "INVOICEID", "left_semi").select("INVOICE_YEAR", "INVOICE_MONTH").distinct()
-    return {date(r.INVOICE_YEAR, r.INVOICE_MONTH, 1) for r in months.collect() if r.INVOICE_YEAR and r.INVOICE_MONTH}
-
-
-def latest_delivery(stored: DataFrame) -> DataFrame:
-    """Detail rows of the last load that holds their invoice."""
-    last = stored.groupBy("INVOICEID").agg(F.max("LOAD_PERIOD").alias("LOAD_PERIOD"))
-    return stored.join(last, ["INVOICEID", "LOAD_PERIOD"], "left_semi")
-
-
 def refine_lines(spark: SparkSession, cfg: RevenueConfig, region: str, month: date, merge: bool = False) -> str:
     """Detail of one region and load, and the summaries of all months that the load touches.
 
@@ -301,32 +309,32 @@ def refine_lines(spark: SparkSession, cfg: RevenueConfig, region: str, month: da
     load = {"ROSTER_SYSTEM": label, "LOAD_PERIOD": period}
     wide = schemas.T.StructType([*LINE_DETAIL.fields, *schemas.struct_of("LOAD_PERIOD string").fields])
     ensure_table(spark, cfg.line_detail, wide, list(load))
-    ensure_table(spark, cfg.line_summary, LINE_SUMMARY, ["ROSTER_SYSTEM", "INVOICE_YEAR", "INVOICE_MONTH"])
-
-    def stored() -> DataFrame:
-        return spark.table(cfg.line_detail).filter(F.col("ROSTER_SYSTEM") == label)
+    ensure_table(spark, cfg.line_summary, LINE_SUMMARY, SUMMARY_PARTITIONS)
 
-    touched = {month} | _months_of_load(stored(), period)
-    detail = line_detail(
-        spark.table(cfg.header_table).filter(here), spark.table(cfg.item_table).filter(here), label, cfg.names, cfg.amount_type
-    )
-    replace_period(detail.withColumn("LOAD_PERIOD", F.lit(period)), cfg.line_detail, load)
-    touched |= _months_of_load(stored(), period)
-    current, rows = latest_delivery(stored()), 0
+    index, rows = InvoiceIndex(spark, cfg.line_index, cfg.line_detail, label), 0
     with staging(spark) as stage:
-        for day in sorted(touched):
-            summary = stage(line_summary(filter_period(current, day), cfg.amount_type), "summary")
-            if merge:
-                rows += _merge_summary(spark, cfg, summary).rows
-            else:
+        headers, items = (spark.table(name).filter(here) for name in (cfg.header_table, cfg.item_table))
+        detail = stage(line_detail(headers, items, label, cfg.names, cfg.amount_type).withColumn("LOAD_PERIOD", F.lit(period)), "detail")
+        before = stage(index.load(period), "before")
+        replace_period(detail, cfg.line_detail, load)
+        index.replace(period, detail)
+        invoices = stage(before.select("INVOICEID").unionByName(detail.select("INVOICEID")).distinct(), "invoices")
+        touched = {month} | months_of(before) | months_of(index.of(invoices))
+        live = stage(index.live(touched), "live")
+        summaries = stage(line_summary(index.current(touched, live), cfg.amount_type), "summaries")
+        if merge:
+            rows = _merge_summary(spark, cfg, summaries).rows
+        else:
+            rows = _write_partitions(spark, summaries, cfg.line_summary, SUMMARY_PARTITIONS)
+            for day in sorted(touched - months_of(summaries)):  # months that lost all their rows
                 in_month = {"ROSTER_SYSTEM": label, "INVOICE_YEAR": day.year, "INVOICE_MONTH": day.month}
-                rows += replace_period(summary, cfg.line_summary, in_month).rows
+                replace_period(filter_period(summaries, day), cfg.line_summary, in_month)
     system_rows = spark.table(cfg.line_summary).filter(F.col("ROSTER_SYSTEM") == label)
     return f"SUCCESS: {label} {period} ({rows} rows) | {_variance_text(system_rows, month)}"
 
 
 def _merge_summary(spark: SparkSession, cfg: RevenueConfig, summary: DataFrame) -> LoadResult:
-    keys = ["BRANCHID", "CATEGORY_OF_CARE", "FUNDER_TYPE"]
+    keys = [*SUMMARY_PARTITIONS, "BRANCHID", "CATEGORY_OF_CARE", "FUNDER_TYPE"]
     amounts = ["BRANCHNAME", "TOT_AMT_INVOICED", "TOT_AMT_EXPENSES", "TOT_CNT_HOURS"]
     return change_table(
         spark, cfg.line_summary, summary,
@@ -334,21 +342,51 @@ def _merge_summary(spark: SparkSession, cfg: RevenueConfig, summary: DataFrame)
     )
 
 
-def refine_snapshots(spark: SparkSession, cfg: RevenueConfig, as_of: date) -> str:
-    """Movement detail, its summary, and the hours summary, rebuilt from all snapshots."""
-    detail = snapshot_detail(
-        union_periods(spark, cfg.snapshot_prefix), cfg.names, cfg.system_rules, cfg.default_system, cfg.amount_type
-    )
-    detail_result = replace_table(detail, cfg.snapshot_detail)
-    summary_result = replace_table(snapshot_summary(spark.table(cfg.snapshot_detail)), cfg.snapshot_summary)
+def _snapshot_state(cfg: RevenueConfig) -> MovementState:
+    return MovementState(cfg.snapshot_state, f"{cfg.snapshot_state}_last", tuple(SNAPSHOT_KEYS), "SENT", "TOTAL_INVOICED")
+
+
+def refine_snapshots(spark: SparkSession, cfg: RevenueConfig, as_of: date, rebuild: bool = False) -> str:
+    """Movement detail, its summary, and the hours summary.
+
+    Snapshots that were not applied yet are taken into the state; only months that they touch
+    are written again. ``rebuild`` starts from all snapshots, as is needed when rows of an
+    applied snapshot were taken back.
+    """
+    state, tables = _snapshot_state(cfg), period_tables(spark, cfg.snapshot_prefix)
+    ensure_table(spark, cfg.snapshot_applied, schemas.struct_of("SNAPSHOT string"))
+    applied = set() if rebuild else {r.SNAPSHOT for r in spark.table(cfg.snapshot_applied).collect()}
+    names = [n for n in tables if n.rpartition(".")[2] not in applied]
+    if not applied:
+        for name in (state.rows, state.last, cfg.snapshot_detail, cfg.snapshot_summary):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    detail_rows = summary_rows = 0
+    months = state.advance(spark, sent_invoices(reduce(DataFrame.unionByName, [spark.table(n) for n in names]))) if names else []
+    if months or not applied:
+        described = described_movement(state.moved(spark, months, "MOVED"), cfg.names, cfg.system_rules, cfg.default_system, cfg.amount_type)
+        with staging(spark) as stage:
+            detail = stage(described, "movement")
+            detail_rows = _write_partitions(spark, detail, cfg.snapshot_detail, MONTH)
+            summary_rows = _write_partitions(spark, snapshot_summary(detail), cfg.snapshot_summary, MONTH)
     hours_result = replace_table(hours_summary(union_periods(spark, cfg.visit_prefix)), cfg.hours_summary)
+    known = spark.createDataFrame([(n.rpartition(".")[2],) for n in tables], "SNAPSHOT string")
+    replace_table(known, cfg.snapshot_applied)
     variance = _variance_text(spark.table(cfg.snapshot_summary), shift_month(as_of, -1), True)
     return (
-        f"SUCCESS: detail ({detail_result.rows} rows) | invoice ({summary_result.rows} rows) | "
+        f"SUCCESS: detail ({detail_rows} rows) | invoice ({summary_rows} rows) | "
         f"hours ({hours_result.rows} rows) | {variance}"
     )
 
 
+def _write_partitions(spark: SparkSession, rows: DataFrame, name: str, cols: Sequence[str]) -> int:
+    """Replace the partitions that ``rows`` have, and no others, in one commit."""
+    ensure_table(spark, name, rows.schema, cols)
+    counted, count = count_rows(in_table_order(rows, name))
+    with dynamic_overwrite(spark):
+        balanced(counted, cols).write.mode("overwrite").insertInto(name)
+    return count()
+
+
 def conform(spark: SparkSession, cfg: RevenueConfig, as_of: date) -> str:
     """Merge all refined sources into one table; dated legacy sources end where lines begin."""
     lines = line_branch(spark.table(cfg.line_summary))

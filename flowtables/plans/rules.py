@@ -62,8 +62,11 @@ class RevenueConfig:
     visit_source: str = "shared_visit_"
     visit_prefix: str = "period_visit_"
     line_detail: str = "invoice_line_detail"
+    line_index: str = "invoice_line_index"
     line_summary: str = "invoice_line_summary"
     snapshot_detail: str = "snapshot_detail"
+    snapshot_state: str = "snapshot_state"
+    snapshot_applied: str = "snapshot_applied"
     snapshot_summary: str = "snapshot_summary"
     hours_summary: str = "hours_summary"
     legacy_dated: tuple[str, ...] = ()

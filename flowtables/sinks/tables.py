@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from flowtables.functions.dates import local_time, ntz
 from flowtables.schemas import AUDIT_LOG, cast_text
+from flowtables.session import remove_path, scratch_path, staged
 
 _STAGING = "__staging"
 
@@ -135,23 +136,21 @@ def replace_table(df: DataFrame, name: str, partition_cols: Sequence[str] | None
 
 
 def _replace_partitions(df: DataFrame, name: str, cols: Sequence[str]) -> LoadResult:
+    """Replace the rows partition by partition; which partitions stay is read from the rows as they were staged."""
     spark = df.sparkSession
-    seen = Observation()
-    # The set of partition values is as small as the list of partitions.
-    watched = in_table_order(df, name).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(*cols)).alias("partitions")
-    )
-    with dynamic_overwrite(spark):
-        balanced(watched, cols).write.mode("overwrite").insertInto(name)
+    path = scratch_path(spark, "replacement")
     try:
-        rows, kept = int(seen.get["rows"]), {tuple(r) for r in seen.get["partitions"]}
-    except Py4JJavaError:
-        rows, kept = 0, set()
-    for old in touched_partitions(spark.table(name), cols):
-        if tuple(old) not in kept:
-            spec = ", ".join(f"`{c}` = {_literal(old[c])}" for c in cols)
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
-    return done(name, rows)
+        rows = staged(in_table_order(df, name), path=path)
+        with dynamic_overwrite(spark):
+            balanced(rows, cols).write.mode("overwrite").insertInto(name)
+        kept = {tuple(r) for r in touched_partitions(rows, cols)}
+        for old in touched_partitions(spark.table(name), cols):
+            if tuple(old) not in kept:
+                spec = ", ".join(f"`{c}` = {_literal(old[c])}" for c in cols)
+                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+        return done(name, rows.count())
+    finally:
+        remove_path(spark, path)
 
 
 def _recover(spark: SparkSession, name: str) -> None:

@@ -10,11 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowtables import schemas
+from flowtables.plans.invoice_index import InvoiceIndex
 from flowtables.plans import contacts, hires, revenue
 from flowtables.plans.rules import ContactsConfig, HiresConfig, NameRules, Region, RevenueConfig
 from flowtables.sinks.tables import replace_table
 
-NAMES = NameRules(strip_patterns=("Acme [Cc]are |ACM ",), drop_words=(" Rostered",), key_drop_words=("ACME CARE",))
+NAMES = NameRules(strip_patterns=("(?:Unit|Kiosk) [0-9]+: ",), drop_words=(" /archived",), key_drop_words=("UNIT 7:",))
 
 
 def write_csv(path, schema, records):
@@ -40,10 +41,10 @@ def frame(spark, schema, records):
 def month(spark, db, folder):
     """February 2026 with one region: repeated headers, two spellings of a branch, out-of-month rows."""
     headers = [
-        dict(invoiceid=1, branchid=10, branchname="Acme Care (North)", created="2026-02-01 00:00:00", updated="2026-02-03 00:00:00", jobtypename="Private", vat=20),
-        dict(invoiceid=1, branchid=10, branchname="Acme Care (North)", created="2026-02-01 00:00:00", updated="2026-02-02 00:00:00", jobtypename="Old", vat=20),
-        dict(invoiceid=2, branchid=10, branchname="ACM Northern", created="2026-02-05 00:00:00", jobtypename="Private", split="50.0"),
-        dict(invoiceid=3, branchid=10, branchname="Acme Care (North)", created="2026-02-01 00:00:00", updated="2026-03-02 00:00:00", jobtypename="Private"),
+        dict(invoiceid=1, branchid=10, branchname="Unit 7: (North)", created="2026-02-01 00:00:00", updated="2026-02-03 00:00:00", jobtypename="Private", vat=20),
+        dict(invoiceid=1, branchid=10, branchname="Unit 7: (North)", created="2026-02-01 00:00:00", updated="2026-02-02 00:00:00", jobtypename="Old", vat=20),
+        dict(invoiceid=2, branchid=10, branchname="Kiosk 31: Northern", created="2026-02-05 00:00:00", jobtypename="Private", split="50.0"),
+        dict(invoiceid=3, branchid=10, branchname="Unit 7: (North)", created="2026-02-01 00:00:00", updated="2026-03-02 00:00:00", jobtypename="Private"),
         dict(invoiceid=4, branchid=11, branchname="Unknown &amp; Co", created="2026-02-07 00:00:00", manualinvoice=2, jobtypename="Private"),
         dict(invoiceid=5, branchid=11, branchname="Unknown &amp; Co", created="2026-02-07 00:00:00", vat=99),
         dict(invoiceid=6, branchid=12, branchname="Training Centre", created="2026-02-07 00:00:00", vat=99),
@@ -63,11 +64,11 @@ def month(spark, db, folder):
     write_csv(f"{folder}/land/A_header_2026_02.csv", schemas.INVOICE_HEADER, headers)
     write_csv(f"{folder}/land/A_item_2026_02.csv", schemas.INVOICE_ITEM, items)
     snaps = [
-        dict(OFFICE_ID=1, OFFICE_NAME="Acme Care East", TERRITORY="Untagged", INV_NO="s1", INVOICE_DATE=date(2026, 1, 5), TOTAL_INVOICED=Decimal(100)),
-        dict(OFFICE_ID=1, OFFICE_NAME="Acme Care East", TERRITORY="Untagged", INV_NO="s1", INVOICE_DATE=date(2026, 1, 5), INVOICE_SENT_DATE=date(2026, 1, 9), TOTAL_INVOICED=Decimal(120)),
-        dict(OFFICE_ID=1, OFFICE_NAME="Acme Care East", TERRITORY="Untagged", INV_NO="s1", INVOICE_DATE=date(2026, 1, 5), INVOICE_SENT_DATE=date(2026, 2, 9), TOTAL_INVOICED=Decimal(90)),
-        dict(OFFICE_ID=2, OFFICE_NAME="West (Isles) office", TERRITORY="Acme Care West", INV_NO="s2", INVOICE_DATE=date(2026, 2, 5), TOTAL_INVOICED=Decimal(40)),
-        dict(OFFICE_ID=2, OFFICE_NAME="West (Isles) office", TERRITORY="Acme Care West", INV_NO="s3", INVOICE_DATE=date(2026, 2, 5)),
+        dict(OFFICE_ID=1, OFFICE_NAME="Unit 7: East", TERRITORY="Untagged", INV_NO="s1", INVOICE_DATE=date(2026, 1, 5), TOTAL_INVOICED=Decimal(100)),
+        dict(OFFICE_ID=1, OFFICE_NAME="Unit 7: East", TERRITORY="Untagged", INV_NO="s1", INVOICE_DATE=date(2026, 1, 5), INVOICE_SENT_DATE=date(2026, 1, 9), TOTAL_INVOICED=Decimal(120)),
+        dict(OFFICE_ID=1, OFFICE_NAME="Unit 7: East", TERRITORY="Untagged", INV_NO="s1", INVOICE_DATE=date(2026, 1, 5), INVOICE_SENT_DATE=date(2026, 2, 9), TOTAL_INVOICED=Decimal(90)),
+        dict(OFFICE_ID=2, OFFICE_NAME="West (Isles) office", TERRITORY="Unit 7: West", INV_NO="s2", INVOICE_DATE=date(2026, 2, 5), TOTAL_INVOICED=Decimal(40)),
+        dict(OFFICE_ID=2, OFFICE_NAME="West (Isles) office", TERRITORY="Unit 7: West", INV_NO="s3", INVOICE_DATE=date(2026, 2, 5)),
     ]
     for key, rows in (("2026_1", snaps[:2]), ("2026_2", snaps[2:])):
         replace_table(frame(spark, schemas.INVOICE_SNAPSHOT, rows), f"shared_invoice_{key}")
@@ -77,11 +78,11 @@ def month(spark, db, folder):
     company = "ID PROPERTY_NAME PROPERTY_POWER_BI_NAME PROPERTY_POWER_BI_REPORT PROPERTY_TYPE PROPERTY_STATUS PROPERTY_ROSTER_SYSTEM PROPERTY_BDM PROPERTY_FRANCHISEE_1 IS_DELETED".split()
     yes = dict(PROPERTY_POWER_BI_REPORT="Yes", PROPERTY_TYPE="Franchisee", IS_DELETED="FALSE", PROPERTY_STATUS="Open")
     companies = [
-        dict(ID="1", PROPERTY_NAME="Acme Care Northern", PROPERTY_POWER_BI_NAME="PBI North", PROPERTY_BDM="N - lead", **yes),
-        dict(ID="2", PROPERTY_NAME="ACM (Northern)", PROPERTY_POWER_BI_NAME="PBI North 2", PROPERTY_BDM="N2 - lead", **yes),  # cleans to the same name
-        dict(ID="3", PROPERTY_NAME="Acme Care East", PROPERTY_POWER_BI_NAME="", **yes),
+        dict(ID="1", PROPERTY_NAME="Unit 7: Northern", PROPERTY_POWER_BI_NAME="PBI North", PROPERTY_BDM="N - lead", **yes),
+        dict(ID="2", PROPERTY_NAME="Kiosk 31: (Northern)", PROPERTY_POWER_BI_NAME="PBI North 2", PROPERTY_BDM="N2 - lead", **yes),  # cleans to the same name
+        dict(ID="3", PROPERTY_NAME="Unit 7: East", PROPERTY_POWER_BI_NAME="", **yes),
         dict(ID="4", PROPERTY_NAME="West", PROPERTY_POWER_BI_NAME="PBI West", **{**yes, "IS_DELETED": "TRUE"}),
-        dict(ID="5", PROPERTY_NAME="Acme Care", PROPERTY_POWER_BI_NAME="PBI blank key", **yes),
+        dict(ID="5", PROPERTY_NAME="Unit 7:", PROPERTY_POWER_BI_NAME="PBI blank key", **yes),
     ]
     schema = schemas.struct_of("\n".join(f"{c} string" for c in company))
     replace_table(frame(spark, schema, companies), "company")
@@ -138,7 +139,7 @@ def test_revenue_month(spark, month):
 
 def test_invoices_dated_in_other_months_are_in_exactly_one(spark, month, folder):
     """Two file months, each with invoices dated in the other; one invoice is sent in both."""
-    line = dict(branchid=20, branchname="Acme Care South", jobtypename="Private")
+    line = dict(branchid=20, branchname="Unit 7: South", jobtypename="Private")
     headers = [dict(invoiceid=20, created="2026-03-03 00:00:00", **line), dict(invoiceid=21, created="2026-02-20 00:00:00", **line), dict(invoiceid=3, created="2026-02-01 00:00:00", updated="2026-03-05 00:00:00", **line)]
     items = [dict(id=30 + i, invoiceid=h["invoiceid"], type="timesheet", billing=f"{10 ** i}.00", invoicehrs="1", jobtypegroupname="Care") for i, h in enumerate(headers)]
     write_csv(f"{folder}/land/A_header_2026_03.csv", schemas.INVOICE_HEADER, headers)
@@ -158,6 +159,78 @@ def test_invoices_dated_in_other_months_are_in_exactly_one(spark, month, folder)
         assert totals() == want
 
 
+def test_a_load_reads_the_loads_that_hold_its_months(spark, month, folder):
+    """The index leads to the partitions of the detail; others are not read, also after a correction."""
+    for m in (3, 4, 5):
+        header = [dict(invoiceid=100 * m + i, branchid=m, branchname="B", jobtypename="Private", created=f"2026-{m:02d}-03 00:00:00") for i in range(3)]
+        item = [dict(id=i, invoiceid=h["invoiceid"], type="timesheet", billing="10.00", invoicehrs="1", jobtypegroupname="Care") for i, h in enumerate(header)]
+        if m == 5:  # an April invoice comes again, now dated in May
+            header.append(dict(header[0], invoiceid=400))
+            item.append(dict(item[0], id=9, invoiceid=400))
+        write_csv(f"{folder}/land/A_header_2026_{m:02d}.csv", schemas.INVOICE_HEADER, header)
+        write_csv(f"{folder}/land/A_item_2026_{m:02d}.csv", schemas.INVOICE_ITEM, item)
+        revenue.load_files(spark, month, date(2026, m + 1, 1))
+        revenue.refine_lines(spark, month, "A", date(2026, m, 1))
+    label = next(r.label for r in month.regions if r.code == "A")
+    index = InvoiceIndex(spark, month.line_index, month.line_detail, label)
+    may, april = [date(2026, 5, 1)], [date(2026, 4, 1)]
+    live = index.live(may)
+    assert sorted((int(r.INVOICEID), r.LOAD_PERIOD) for r in live.collect()) == [(400, "2026_05"), (500, "2026_05"), (501, "2026_05"), (502, "2026_05")]
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    plan = index.current(may, live)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    detail_scan = next(line for line in plan.splitlines() if "FileScan" in line and "BRANCHNAME" in line)
+    assert "LOAD_PERIOD" in detail_scan.split("PartitionFilters")[1] and "2026_05" in detail_scan and "2026_04" not in detail_scan
+    assert "PushedFilters" in detail_scan and "EqualTo(INVOICE_MONTH,5)" in detail_scan
+    # The superseded April row is left out where it was.
+    assert sorted(int(r.INVOICEID) for r in index.current(april, index.live(april)).collect()) == [401, 402]
+    totals = {(r.BRANCHID, r.INVOICE_MONTH): r.TOT_AMT_INVOICED for r in spark.table(month.line_summary).filter("BRANCHID in (3, 4, 5)").collect()}
+    assert totals == {(3, 3): 30, (4, 4): 20, (5, 5): 40}
+    # Detail that was stored before there was an index is taken into it.
+    spark.sql(f"DROP TABLE {month.line_index}")
+    again = InvoiceIndex(spark, month.line_index, month.line_detail, label)
+    assert sorted(again.live(may).collect()) == sorted(live.collect())
+
+
+def test_movement_by_state_equals_a_rebuild(spark, db):
+    """Three months, one that corrects an older month, undated rows, and a snapshot applied twice."""
+    fields = [f for f in schemas.INVOICE_SNAPSHOT if f.name in ("OFFICE_ID", "OFFICE_NAME", "TERRITORY", "INV_NO", "CARE_TYPE", "FUNDER_TYPE", "INVOICE_DATE", "INVOICE_SENT_DATE", "TOTAL_INVOICED")]
+    shape = schemas.T.StructType(fields)
+
+    def row(inv, day, total, sent=None, office=1, care="home"):
+        return {"OFFICE_ID": Decimal(office), "OFFICE_NAME": "East", "TERRITORY": "T", "INV_NO": inv, "CARE_TYPE": care, "FUNDER_TYPE": None, "INVOICE_DATE": day, "INVOICE_SENT_DATE": sent, "TOTAL_INVOICED": None if total is None else Decimal(total)}
+
+    def d(m, day=5):
+        return date(2026, m, day)
+
+    months = {
+        "2026_1": [row("a", d(1), 100), row("b", d(1), 50), row("b", d(1, 9), 55), row("n", d(1), 7, care=None), row("u", None, 3)],
+        "2026_2": [row("a", d(2), 130), row("c", d(2), 10), row("b", d(1, 9), 55), row("n", d(2), 9, care=None), row("z", d(2), None)],
+        "2026_3": [row("a", d(3), 90), row("b", d(3), 60), row("u", d(3), 4), row("m", d(2), 1), row("m", d(3), 5)],
+        # January of a and b is corrected, and c gets a month before its first.
+        "2026_4": [row("a", d(1, 20), 111), row("b", d(1, 30), 40), row("c", d(1), 2), row("c", d(4), 12), row("n", d(2), 9, care=None)],
+        "2026_5": [row("a", d(5), 95), row("q", d(5), 1)],
+    }
+    cfg = RevenueConfig(snapshot_prefix=f"{db}.snap_", snapshot_detail=f"{db}.moved", snapshot_summary=f"{db}.summed", snapshot_state=f"{db}.state", snapshot_applied=f"{db}.applied", visit_prefix=f"{db}.visit_", hours_summary=f"{db}.hours", amount_type="decimal(18,2)")
+    spark.createDataFrame([], schemas.PERIOD_VISIT).write.saveAsTable(f"{db}.visit_2026_1")
+    rows = lambda df: sorted(map(repr, df.select(sorted(df.columns)).collect()))
+    for name, own in months.items():
+        spark.createDataFrame(own, shape).write.saveAsTable(f"{db}.snap_{name}")
+        before = {f for f in spark.table(cfg.snapshot_detail).inputFiles()} if name != "2026_1" else set()
+        assert revenue.refine_snapshots(spark, cfg, date(2026, 6, 1)).startswith("SUCCESS")
+        whole = revenue.snapshot_detail(revenue.union_periods(spark, cfg.snapshot_prefix), cfg.names, cfg.system_rules, cfg.default_system, cfg.amount_type)
+        assert rows(spark.table(cfg.snapshot_detail)) == rows(whole), name
+        assert rows(spark.table(cfg.snapshot_summary)) == rows(revenue.snapshot_summary(whole)), name
+        if name == "2026_5":  # one new month: nothing else was written
+            assert before <= set(spark.table(cfg.snapshot_detail).inputFiles())
+    state = revenue._snapshot_state(cfg)
+    held = rows(spark.table(cfg.snapshot_state))
+    state.advance(spark, revenue.sent_invoices(spark.table(f"{db}.snap_2026_4")))
+    assert rows(spark.table(cfg.snapshot_state)) == held
+    revenue.refine_snapshots(spark, cfg, date(2026, 6, 1), rebuild=True)
+    assert rows(spark.table(cfg.snapshot_detail)) == rows(whole) and rows(spark.table(cfg.snapshot_state)) == held
+
+
 def test_revenue_rerun_changes_nothing(spark, month):
     as_of = datetime(2026, 3, 1, 8)
     revenue.load_shared(spark, month, datetime(2026, 2, 1, 8))
@@ -196,7 +269,7 @@ def contact_cfg(spark, db, folder):
     )
     os.makedirs(cfg.inbox)
     os.makedirs(cfg.updates_inbox)
-    set_companies(spark, [("Acme Care North & South", "FILE"), ("Acme Care East", "TABLE")])
+    set_companies(spark, [("Unit 7: North & South", "FILE"), ("Unit 7: East", "TABLE")])
     return cfg
 
 
@@ -233,7 +306,7 @@ def test_contact_ingest(spark, contact_cfg):
     assert contacts.ingest(spark, cfg, as_of) == "NEW: Files=1 | JSON=2 | Inserted=1 | Updated=1 | Unmapped=1"
     assert contacts.ingest(spark, cfg, as_of).startswith("NEW: Files=0")
 
-    set_companies(spark, [("Acme Care North & South", "FILE"), ("Acme Care East", "TABLE"), ("Later", "FILE"), ("ACM (Later)", "TABLE")])
+    set_companies(spark, [("Unit 7: North & South", "FILE"), ("Unit 7: East", "TABLE"), ("Later", "FILE"), ("Kiosk 31: (Later)", "TABLE")])
     drop_contacts(cfg, "contacts_5.json", [person("3", "East"), person("4", "East")])
     assert contacts.ingest(spark, cfg, datetime(2024, 7, 1)) == "NEW: Files=1 | JSON=2 | Inserted=1 | Updated=1 | Unmapped=0"
     rows = {r.HS_OBJECT_ID: r for r in spark.table(cfg.contacts).collect()}

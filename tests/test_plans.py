@@ -9,7 +9,7 @@ from flowtables.harness import all_queries
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = all_queries()
 # Queries that run whole jobs: their result is a read of the table the job wrote.
-JOBS = {"contacts_flow", "contact_acks_flow", "updates_from_files_flow", "updates_from_table_flow", "hires_flow", "monthly_loads", "stream_autoingest"}
+JOBS = {"contacts_flow", "contact_acks_flow", "updates_from_files_flow", "updates_from_table_flow", "hires_flow", "monthly_loads", "late_invoices", "revenue_jobs_flow", "stream_autoingest", "stream_multiline"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
 
