@@ -39,7 +39,9 @@ def _parsed(spark: SparkSession, lines: DataFrame, schema: T.StructType) -> Iter
     """Records of a batch of lines, parsed once and written; gone afterwards."""
     paths = [scratch_path(spark, "arrived-lines"), scratch_path(spark, "arrived")]
     try:
-        read = staged(numbered(lines), path=paths[0])
+        numbered(lines).write.parquet(paths[0])
+        # The batch has a session of its own; from here on it is the caller's.
+        read = spark.read.schema(numbered(lines).schema).parquet(paths[0])
         yield staged(parsed_records(split_records(read, len(schema)), schema), path=paths[1])
     finally:
         for path in paths:

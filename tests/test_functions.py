@@ -16,7 +16,7 @@ def one(spark, value, fn, kind="string"):
 @pytest.mark.parametrize("raw, want", [
     ("Unit 7: (North-East) &amp; Sons", "NorthEast & Sons"),
     ("Kiosk 31: South", "South"),
-    ("acme care East", "acme care East"),  # patterns are case-sensitive
+    ("unit 7: East", "unit 7: East"),  # patterns are case-sensitive
     ("Unit 7: A Kiosk 12: B", "A B"),  # every match goes
     (None, None),
 ])
@@ -27,7 +27,7 @@ def test_clean_name(spark, raw, want):
 @pytest.mark.parametrize("raw, want", [
     (" Unit 7: North & South ", "NORTHANDSOUTH"),
     ("North &amp; South", "NORTHANDSOUTH"),
-    ("acme care", ""),
+    ("unit 7:", ""),
     (None, None),
 ])
 def test_join_key(spark, raw, want):
