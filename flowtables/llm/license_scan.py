@@ -103,7 +103,7 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]], containme
     ``stop``, and the share of the template's shingles in the window. Of overlapping matches
     of one template the one with the larger containment stays, then the shorter, then the first.
 
-    Whole texts are scanned. Null, empty and short texts have no matches; rows with null or
+    Whole texts are scanned, each in one task; other columns are not read, whatever their names. Null, empty and short texts have no matches; rows with null or
     repeated ids are scanned each by itself; no templates give no matches. Templates of fewer
     than five words are an error.
     """

@@ -274,7 +274,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_c
     Null and empty texts, and texts without words, are classes of their own. Equal multisets
     are always one class. Null ids never name a class unless it has no other; rows with equal
     ids and equal texts stay together. An empty table gives no rows. Bands are chosen for
-    thresholds of 0.8 and more.
+    thresholds of 0.8 and more. A task holds the shingles of a whole document; other columns
+    are not read, whatever their names.
     """
     rows = id_text(docs, id_col, text_col)
     signed = staged(_signed(rows, size), "signatures")

@@ -244,7 +244,8 @@ def repeated_windows(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
     they are compared unchanged. Windows never cross documents and are judged on the input.
     Null and empty texts have no words, and texts of fewer than ``length`` words lose none. A
     null id counts as the largest; rows with equal ids don't remove each other's words. An
-    empty table gives no rows.
+    empty table gives no rows. A document of any length is one block, which a task holds some
+    thirty times over; other columns are not read, whatever their names.
     """
     blocks = stage_blocks(docs, id_col, text_col)
     parts = partitions_for(blocks)
