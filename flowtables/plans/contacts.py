@@ -226,7 +226,7 @@ def send_csv(spark: SparkSession, cfg: ContactsConfig, as_of: datetime) -> str:
         lambda: flush(
             spark, cfg.contacts,
             lambda rows: pending(rows, cfg.file_system, SENT_CONTACT_TYPES),
-            lambda batch: export_csv(contact_csv(batch), cfg.outbox, name).path,
+            lambda batch: export_csv(contact_csv(batch), cfg.outbox, name, cfg.single_file).path,
             SENT_KEYS, local_time(as_of), "NEW to file",
         ),
         "NEW to file",
@@ -322,7 +322,7 @@ def _send_updates(
     return flush(
         spark, table,
         lambda rows: pending(rows, stamp_col=stamp_col).filter(is_filled("HS_OBJECT_ID")),
-        lambda batch: export_json_array(update_objects(batch, spark.table(cfg.contacts)), cfg.outbox, name).path,
+        lambda batch: export_json_array(update_objects(batch, spark.table(cfg.contacts)), cfg.outbox, name, cfg.single_file).path,
         keys, local_time(as_of), "UPD", stamp_col,
     )
 

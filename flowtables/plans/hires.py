@@ -143,7 +143,7 @@ def send_csv(spark: SparkSession, cfg: HiresConfig, as_of: datetime) -> str:
         spark, cfg.log, "hires_send_csv", as_of,
         lambda: flush(
             spark, cfg.target, lambda rows: pending(rows, cfg.file_system),
-            lambda batch: export_csv(sent_columns(batch), cfg.outbox, name).path,
+            lambda batch: export_csv(sent_columns(batch), cfg.outbox, name, cfg.single_file).path,
             [*MERGE_KEYS, "ROSTER_SYSTEM"], local_time(as_of), "HIRES to file",
         ),
         "HIRES to file",

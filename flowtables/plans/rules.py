@@ -98,6 +98,7 @@ class ContactsConfig:
     file_system: str = "FILE"
     table_system: str = "TABLE"
     outbox: str = ""
+    single_file: bool = True
     outbound: str = "outbound_contacts"
     acks: str = "contact_acks"
     inbound_acks: str = "inbound_acks"
@@ -121,4 +122,5 @@ class HiresConfig:
     file_system: str = "FILE"
     table_system: str = "TABLE"
     outbox: str = ""
+    single_file: bool = True
     outbound: str = "outbound_hired"

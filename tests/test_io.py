@@ -115,6 +115,91 @@ def test_json_export_is_one_array_without_null_keys(spark, folder):
     assert sorted(json.load(open(out.path)), key=lambda r: r["id"]) == [{"id": 1, "n": "a"}, {"id": 2}]
     empty = exports.export_json_array(df.limit(0), folder, "none.json")
     assert json.load(open(empty.path)) == []
+    assert open(exports.export_csv(df.limit(0), folder, "none.csv").path).read() == '"id","n"\n'
+
+
+def part_counts(monkeypatch):
+    """Record how many parts with rows each single file is put together from."""
+    seen, plain = [], exports._stream
+
+    def recorded(*args):
+        seen.append(len(args[4]))
+        plain(*args)
+
+    monkeypatch.setattr(exports, "_stream", recorded)
+    return seen
+
+
+def test_one_file_is_joined_from_the_parts_of_all_tasks(spark, folder, monkeypatch):
+    seen = part_counts(monkeypatch)
+    # A third of the rows are one row, some tasks have none, fields hold quotes and line breaks.
+    text = F.when(F.col("id") % 3 == 0, "same").otherwise(F.concat(F.lit('a,"b"\nc'), F.col("id").cast("string")))
+    df = spark.range(0, 3000, 1, 16).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("id"), text.alias("t")).filter("id < 2000")
+    want = sorted((str(r.id), r.t) for r in df.collect())
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        array = exports.export_json_array(df, folder, "many.json")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sorted((str(r["id"]), r["t"]) for r in json.load(open(array.path))) == want
+    table = exports.export_csv(df, folder, "many.csv")
+    with open(table.path, newline="") as f:
+        header, *lines = csv.reader(f)
+    assert header == ["id", "t"] and sorted(map(tuple, lines)) == want
+    assert len(seen) == 2 and min(seen) > 4
+    # The bytes don't depend on how many tasks wrote them.
+    alone = exports.export_json_array(df.coalesce(1), folder, "alone.json")
+    assert open(alone.path, "rb").read() == open(array.path, "rb").read()
+    assert sorted(os.listdir(folder)) == [".alone.json.crc", ".many.csv.crc", ".many.json.crc", "alone.json", "many.csv", "many.json"]
+
+
+def test_an_export_that_fails_leaves_the_earlier_file(spark, folder, monkeypatch):
+    df = spark.range(10).select("id")
+    first = open(exports.export_csv(df, folder, "x.csv").path).read()
+
+    def broken(*args):
+        exports._close(args[1].create(args[3]), "half")
+        raise OSError("the store went away")
+
+    monkeypatch.setattr(exports, "_stream", broken)
+    with pytest.raises(OSError):
+        exports.export_csv(df.limit(1), folder, "x.csv")
+    assert open(f"{folder}/x.csv").read() == first and sorted(os.listdir(folder)) == [".x.csv.crc", "x.csv"]
+
+
+def test_a_file_system_that_concatenates_gets_the_parts_in_order(spark):
+    class Store:
+        """Files as texts, with the calls of a file system that can append and concatenate."""
+
+        def __init__(self, files):
+            self.files = dict(files)
+
+        def append(self, path):
+            files, key = self.files, path.toString()
+
+            class Out:
+                def write(self, data):
+                    files[key] = files.get(key, "") + bytes(data).decode()
+
+                def close(self):
+                    pass
+
+            return Out()
+
+        def create(self, path):
+            self.files[path.toString()] = ""
+            return self.append(path)
+
+        def concat(self, path, parts):
+            for p in parts:
+                self.files[path.toString()] += self.files.pop(p.toString())
+
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for texts, want in ((["{1}\n,{2}\n", "{3}\n"], "[{1}\n,{2}\n,{3}\n]\n"), (["{1}\n"], "[{1}\n]\n"), ([], "[]\n")):
+        store = Store({f"p{i}": t for i, t in enumerate(texts)})
+        exports._concatenate(spark, store, path("whole"), [path(f"p{i}") for i in range(len(texts))], "[", ",", "]\n")
+        assert store.files == {"whole": want}
 
 
 # ------------------------------------------------------------------ tables
