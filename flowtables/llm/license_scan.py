@@ -7,6 +7,9 @@ has a Jaccard similarity of at least n / 2c > 1/4 with it, and ``BANDS`` bands o
 value each miss it with a chance below 0.75 ** BANDS (one in a million). A retrieved window
 is verified exactly: the share of the template's shingles that it contains.
 
+An edited passage that still contains four fifths of a template's shingles has a similarity of
+at least 0.19 with a window that holds it, which the bands miss with a chance of four in 100,000.
+
 A band can only agree where the window holds the template's own smallest shingle of that band,
 so values are computed for windows with at least one such shingle, and for no others; the
 windows retrieved are the same.
@@ -14,8 +17,10 @@ windows retrieved are the same.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -96,12 +101,31 @@ class Templates:
                 yield begin, template
 
 
+def _over(spans: list[tuple[int, int, float]], start: int, stop: int) -> list[tuple[int, int, float]]:
+    """Those of disjoint sorted spans that share a word with [start, stop)."""
+    first = max(0, bisect_right(spans, (start,)) - 1)
+    return [s for s in spans[first : bisect_left(spans, (stop,))] if s[1] > start]
+
+
+def _apart(found: set[tuple[float, int, int]]) -> list[tuple[int, int, float]]:
+    """Disjoint (start, stop, containment) in order, from (-containment, size in shingles, start), the best first."""
+    kept: list[tuple[int, int, float]] = []
+    for share, size, start in sorted(found):
+        stop = start + size + SIZE
+        if not _over(kept, start, stop):
+            insort(kept, (start, stop, -share))
+    return kept
+
+
 def license_matches(docs: DataFrame, templates: list[tuple[str, str]], containment: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """License passages of every document: doc_id and matches.
 
-    A match is (license, start, stop, containment): its words from ``start`` up to before
-    ``stop``, and the share of the template's shingles in the window. Of overlapping matches
-    of one template the one with the larger containment stays, then the shorter, then the first.
+    A match is (license, start, stop, containment, shared, best): its words from ``start`` up to
+    before ``stop``, and the share and number of the template's shingles in the window. Of
+    overlapping matches of one template the one with the larger containment stays, then the
+    shorter, then the first. Licenses that quote each other match the same passage: ``best`` is
+    false where a match of another license that shares a word with it has more shared shingles,
+    or as many at a larger containment.
 
     Whole texts are scanned, each in one task; other columns are not read, whatever their names. Null, empty and short texts have no matches; rows with null or
     repeated ids are scanned each by itself; no templates give no matches. Templates of fewer
@@ -118,14 +142,15 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]], containme
                 share = len(np.unique(window[inside])) / len(wanted)
                 if share >= containment:
                     found[template].add((-share, int(inside[-1] - inside[0]), begin + int(inside[0])))
+        kept = {template: _apart(spans) for template, spans in found.items()}
+        rank = {t: {start: (round(share * len(known.shingles[t])), share) for start, _, share in spans} for t, spans in kept.items()}
         out = []
-        for template, spans in found.items():
-            kept: list[tuple[int, int, float]] = []
-            for share, size, start in sorted(spans):
-                stop = start + size + SIZE
-                if all(stop <= a or start >= b for a, b, _ in kept):
-                    kept.append((start, stop, -share))
-            out += [{"license": known.names[template], "start": a, "stop": b, "containment": s} for a, b, s in kept]
+        for t, spans in kept.items():
+            others = [o for o in kept if known.names[o] != known.names[t]]
+            for start, stop, share in spans:
+                shared, _ = own = rank[t][start]
+                best = all(rank[o][other] <= own for o in others for other, _, _ in _over(kept[o], start, stop))
+                out.append({"license": known.names[t], "start": start, "stop": stop, "containment": share, "shared": shared, "best": best})
         return sorted(out, key=lambda m: (m["start"], m["license"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,10 +178,10 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]], containme
                 matches[d] = scan(shingles[ends[d] - counts[d] : ends[d]])
         return pa.record_batch([pa.array(ids, pa.int64()), pa.array(matches, _MATCHES)], names=["doc_id", "matches"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, matches array<struct<license:string,start:long,stop:long,containment:double>>")
+    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, matches array<struct<license:string,start:long,stop:long,containment:double,shared:long,best:boolean>>")
 
 
-_MATCHES = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("containment", pa.float64())]))
+_MATCHES = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("containment", pa.float64()), ("shared", pa.int64()), ("best", pa.bool_())]))
 
 # Short public notices by which texts state their license.
 NOTICES = [
@@ -166,6 +191,23 @@ NOTICES = [
     ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("LGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
 ]
+
+
+def bodies() -> list[tuple[str, str]]:
+    """(SPDX name, whole text) of the license bodies beside this module."""
+    return [(p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+
+
+def templates() -> list[tuple[str, str]]:
+    """All templates that the scan knows: notices and whole bodies."""
+    return NOTICES + bodies()

@@ -118,8 +118,8 @@ def op7_near_dedup(spark, sf_dir):
 @query("op8_license_scan")
 def op8_license_scan(spark, sf_dir):
     """One row per match, and one without a license for each document that has none."""
-    found = license_scan.license_matches(table(spark, sf_dir, "documents"), license_scan.NOTICES, containment=0.8)
-    return found.select("doc_id", F.explode_outer("matches").alias("m")).select("doc_id", "m.license", "m.start", "m.stop", "m.containment")
+    found = license_scan.license_matches(table(spark, sf_dir, "documents"), license_scan.templates(), containment=0.8)
+    return found.select("doc_id", F.explode_outer("matches").alias("m")).select("doc_id", "m.license", "m.start", "m.stop", "m.containment", "m.shared", "m.best")
 
 
 @query("op9_decontamination", r"""
@@ -193,7 +193,8 @@ hurt AS (SELECT conv_id, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END
          unnest(CASE WHEN crc % 20 = 3 THEN [0, 1] ELSE [0] END) AS copy FROM crc WHERE crc % 20 <> 0),
 placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM hurt),
 facts AS (SELECT *, substr(role, 1, 1) AS i, right(rtrim(text, E' 	
-'), 1) AS tail,
+
+'), 1) AS tail,
           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again FROM placed),
 judged AS (SELECT *, tail = '' AS is_blank, tail <> '' AND again AS is_again, tail <> '' AND NOT again AND tail NOT IN ('.', '!', '?') AS is_cut,
            lag(i) OVER (PARTITION BY conv_id ORDER BY p) || i AS pair FROM facts),

@@ -54,6 +54,41 @@ def test_partial_and_changed_notices(spark):
     assert [m.license for m in got[3]] == ["MIT", "MIT"] and got[3][0].stop == len(dc.words(notice))
 
 
+def _edited(text, rate, rng):
+    """A text with a share of its words replaced, dropped or doubled."""
+    out = []
+    for w in text.split():
+        out += [w] if rng.random() >= rate else rng.choice([["other"], [], [w, w]])
+    return " ".join(out)
+
+
+def test_whole_bodies_plain_and_edited(spark):
+    rng = random.Random(3)
+    filler = lambda n: " ".join(rng.choice(["alpha", "beta", "the", "of", "software", "x9"]) for _ in range(n))
+    bodies = ls.bodies()
+    assert len(bodies) >= 20 and max(len(t.split()) for _, t in bodies) > 5000
+    docs, truth = [], {}
+    for i, (rate, (name, body)) in enumerate((r, b) for r in (0.0, 0.01, 0.02) for b in bodies):
+        docs.append((i, f"{filler(rng.randrange(0, 3000))} {_edited(body, rate, rng)} {filler(rng.randrange(0, 500))}"))
+        truth[i] = rate, name
+    docs.append((-1, filler(20_000)))
+    got = {r.doc_id: r.matches for r in scan(spark, docs, ls.templates())}
+    assert got[-1] == []
+    for i, (rate, name) in truth.items():
+        assert brute(docs[i][1], ls.templates()) == {m.license for m in got[i]}
+        best = {m.license for m in got[i] if m.best and m.shared > 40}
+        assert best == {name}, (rate, name, got[i])
+        if not rate:
+            assert max(m.containment for m in got[i] if m.license == name) == 1.0
+
+
+def test_passages_by_the_thousand_in_one_text(spark):
+    line = ls.NOTICES[0][1]
+    [r] = scan(spark, [(1, f"{line} \n" * 30_000)], ls.templates())
+    assert 0 < len(r.matches) <= 30_000 and {m.license for m in r.matches} == {"MIT"} and all(m.best for m in r.matches)
+    assert all(a.stop <= b.start for a, b in zip(r.matches, r.matches[1:]))
+
+
 def test_odd_rows(spark):
     docs = [(1, None), (2, ""), (3, "MIT"), (None, ls.NOTICES[0][1]), (4, "x"), (4, ls.NOTICES[0][1]), (5, "word " * 60_000 + ls.NOTICES[0][1])]
     got = scan(spark, docs, ls.NOTICES)
@@ -70,5 +105,5 @@ def test_query_equals_plain_search(spark):
     for r in queries.op8_license_scan(spark, sf).collect():
         found.setdefault(r.doc_id, set()).update({r.license} - {None})
     assert found.keys() == texts.keys()
-    assert found == {i: brute(t, ls.NOTICES) for i, t in texts.items()}
+    assert found == {i: brute(t, ls.templates()) for i, t in texts.items()}
     assert sum(bool(v) for v in found.values()) == sum(bool(re.search(r"licensed under|Licensed under|Released under", t)) for t in texts.values()) > 5
