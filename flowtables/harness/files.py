@@ -18,7 +18,7 @@ from flowtables.plans.rules import Region, RevenueConfig
 from flowtables.session import scratch_path, staged
 from flowtables.sinks.exports import export_csv, export_json_array
 from flowtables.sinks.tables import append_table, create_view, ensure_table, prune, replace_period, replace_table, rewrite_if_nonempty
-from flowtables.sources.files import json_schema, list_files, project_json, project_variant, read_json_array, read_typed_csv
+from flowtables.sources.files import json_schema, list_files, project_json, project_variant, read_array_lines, read_json_array, read_typed_csv
 from flowtables.sources.tables import snapshot_period, snapshot_table, union_periods
 from flowtables.streaming.ingest import ingest_files_stream, read_landed
 
@@ -237,7 +237,7 @@ def exported_json(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("c_nationkey") != 3, F.col("c_nationkey").cast("string")).alias("c_nationkey"),
     )
     export = export_json_array(customers, scratch_path(spark, "outbox"), "customers.json")
-    return read_json_array(spark, export.path, json_schema(customers.columns), multi_line=export.single)
+    return read_array_lines(spark, export.path, json_schema(customers.columns))
 
 
 @query("prune_log", sql="SELECT event_id, ts, event_type, CAST(NULL AS VARCHAR) AS note FROM events WHERE ts >= TIMESTAMP '2024-01-20' OR event_type <> 'error'")

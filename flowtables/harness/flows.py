@@ -16,7 +16,7 @@ from flowtables.plans.rules import ContactsConfig, HiresConfig, NameRules, Regio
 from flowtables.session import scratch_path
 from flowtables.sinks.exports import export_csv
 from flowtables.sinks.tables import ensure_table, replace_table
-from flowtables.sources.files import json_schema, read_json_array
+from flowtables.sources.files import json_schema, read_array_lines
 
 # Two hourly runs, one in winter and one in British summer time.
 FIRST = datetime(2024, 1, 10, 9, 55)
@@ -166,8 +166,7 @@ def updates_from_files_flow(spark: SparkSession, sf: str) -> DataFrame:
         feed.write.mode("append").options(header=True, nullValue="", escape='"').csv(cfg.updates_inbox)
         _expect(contacts.updates_from_files(spark, cfg, as_of), count)
     name = f"{cfg.outbox}/CUSTOMER_UPDATE_{cfg.updates_files}_20240110_095500.json"
-    single = not spark.read.format("binaryFile").load(name).select("path").filter(F.col("path").contains("/part-")).head(1)
-    sent = read_json_array(spark, name, json_schema(["HS_OBJECT_ID", "CUSTOMER_STATUS", "CUSTOMER_STATUS_2", "PORTAL_ID"]), multi_line=single)
+    sent = read_array_lines(spark, name, json_schema(["HS_OBJECT_ID", "CUSTOMER_STATUS", "CUSTOMER_STATUS_2", "PORTAL_ID"]))
     stored = spark.table(cfg.updates_files).select("HS_OBJECT_ID", "CUSTOMER_STATUS", "CUSTOMER_STATUS_2", "ROW_HASH", "SENT_TIMESTAMP")
     # Every stored row was sent once, with the portal of its contact.
     joined = stored.join(sent, ["HS_OBJECT_ID", "CUSTOMER_STATUS", "CUSTOMER_STATUS_2"])

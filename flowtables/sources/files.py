@@ -136,6 +136,19 @@ def read_json_array(
     return kept.filter(filled).select(*[F.col(f"__e.{name}") for name in names], *[F.col("file_name") for _ in name_of_file])
 
 
+def read_array_lines(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """One row per element of arrays that stand one element a line, as ``export_json_array`` writes them, or of its parts.
+
+    The brackets and commas of the array stand before or behind the objects, so lines are read
+    by themselves and a large file is split over tasks; ``read_json_array`` reads an array of
+    any layout, in one task per file.  Rows without any value are left out, as there.
+    """
+    lines = spark.read.option("lineSep", "\n").text(paths if isinstance(paths, str) else list(paths))
+    parsed = lines.select(F.from_json(F.btrim("value", F.lit("[], \t\r")), schema).alias("__e"))
+    filled = F.coalesce(*[F.col(f"__e.`{n}`") for n in schema.names]).isNotNull()
+    return parsed.filter(filled).select(*[F.col(f"__e.`{n}`") for n in schema.names])
+
+
 def _salvaged(schema: T.StructType) -> Column:
     """Elements of a text the file reader gave up on: as an array, or else the complete objects in it.
 
