@@ -167,7 +167,7 @@ def monthly_loads(spark: SparkSession, sf: str) -> DataFrame:
     lines = items(spark, sf).withColumn("__a", F.col("jobtypegroupname") == "O")
     for kind, rows, schema in (("header", status, schemas.INVOICE_HEADER), ("item", lines, schemas.INVOICE_ITEM)):
         for region, chosen in (("A", F.col("__a")), ("B", ~F.col("__a"))):
-            export_csv(schemas.pad_to(rows.filter(chosen), schema), folder, f"{region}_{kind}_2026_02.csv", single_file=False, null_value="NULL")
+            export_csv(schemas.pad_to(rows.filter(chosen), schema), folder, f"{region}_{kind}_2026_02.csv", single_file=False, null_value="NULL", compression="gzip")
     cfg = RevenueConfig(
         regions=(Region("A", "SYS-A"), Region("B", "SYS-B")), landing=folder,
         header_table=f"{db}.invoice_header", item_table=f"{db}.invoice_item",
@@ -211,7 +211,7 @@ def late_invoices(spark: SparkSession, sf: str) -> DataFrame:
             money("l_quantity").alias("invoicehrs"), F.col("l_linestatus").alias("jobtypegroupname"),
         )
         for kind, rows, schema in (("header", head, schemas.INVOICE_HEADER), ("item", lines, schemas.INVOICE_ITEM)):
-            export_csv(schemas.pad_to(rows, schema), folder, f"A_{kind}_{period}.csv", single_file=False, null_value="NULL")
+            export_csv(schemas.pad_to(rows, schema), folder, f"A_{kind}_{period}.csv", single_file=False, null_value="NULL", compression="gzip")
     cfg = RevenueConfig(
         regions=(Region("A", "SYS-A"),), landing=folder, amount_type=CENTS, header_table=f"{db}.invoice_header", item_table=f"{db}.invoice_item",
         line_detail=f"{db}.line_detail", line_index=f"{db}.line_index", line_summary=f"{db}.line_summary",

@@ -288,7 +288,7 @@ def revenue_jobs_flow(spark: SparkSession, sf: str) -> DataFrame:
         month = date(as_of.year, as_of.month - 1, 1)
         for kind, rows, schema in (("header", headers(spark, sf), schemas.INVOICE_HEADER), ("item", items(spark, sf), schemas.INVOICE_ITEM)):
             own = schemas.pad_to(rows.filter(F.col("invoiceid") % 2 == odd), schema)
-            export_csv(own, folder, f"A_{kind}_{month:%Y_%m}.csv", single_file=False, null_value="NULL")
+            export_csv(own, folder, f"A_{kind}_{month:%Y_%m}.csv", single_file=False, null_value="NULL", compression="gzip")
         replace_table(snapshots(spark, sf).filter(F.col("INV_NO").cast("bigint") % 2 == odd), f"{db}.shared_{month.year}_{month.month}")
         replace_table(visits.filter(F.col("n") % 2 == odd).drop("n"), f"{db}.sharedvisit_{month.year}_{month.month}")
         for message in revenue.run_month(spark, cfg, as_of):

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowtables.session import remove_path, scratch_path
 
 _CSV = {"quoteAll": "true", "quote": '"', "escape": '"', "emptyValue": "", "compression": "none"}
+#: Rows of one compressed part, which a reader can't split.
+_PACKED_ROWS = 200_000
 #: Rows of a task are numbered from 0 in these bits; its own number is above them.
 _ROW_BITS = (1 << 33) - 1
 
@@ -34,12 +36,20 @@ def export_csv(
     name: str,
     single_file: bool = True,
     null_value: str = "\\N",
+    compression: str = "none",
 ) -> Export:
-    """Header, every field quoted, NULL as an explicit token so that it differs from ``''``."""
+    """Header, every field quoted, NULL as an explicit token so that it differs from ``''``.
+
+    Parts may be compressed, for wide rows that are mostly tokens; they are cut by rows then.
+    """
+    if single_file and compression != "none":
+        raise ValueError("only parts can be compressed")
     spark = df.sparkSession
     texts = df.selectExpr(*[f"CAST(`{c}` AS string) AS `{c}`" for c in df.columns])
-    options = {**_CSV, "nullValue": null_value}
+    options = {**_CSV, "nullValue": null_value, "compression": compression}
     if not single_file:
+        if compression != "none":
+            options["maxRecordsPerFile"] = _PACKED_ROWS
         texts.write.mode("overwrite").options(header="true", **options).csv(f"{folder}/{name}")
         return Export(f"{folder}/{name}", False)
     header = ",".join('"' + c.replace('"', '""') + '"' for c in df.columns) + "\n"
