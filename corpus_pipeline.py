@@ -4,15 +4,18 @@ Every stage takes (spark, docs, sf_dir), works on all documents its predecessor
 calls one operator of ``flowtables.llm``. All but the last return the columns of documents.
 A stage that decides about single rows numbers them first and writes them with their
 numbers, so that rows which share an id, or have none, are judged each by itself, and a
-row that was delivered twice stays once. Empty inputs give empty outputs.
+row that was delivered twice stays once. Of what a stage works with, its numbered rows and
+the numbers it decided on outlive it. Empty inputs give empty outputs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowtables.llm import decontamination, exact_dedup, near_dedup, packing, queries, toxicity
-from flowtables.session import scratch_path, staged
+from flowtables.session import remove_path, scratch_path, scratch_scope, shuffles_removed, staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +30,17 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     return staged(docs.withColumn(name, F.monotonically_increasing_id()), "pipeline-rows"), name
 
 
-def _chosen(rows: DataFrame, key: str, numbers: DataFrame, how: str = "left_semi") -> DataFrame:
-    """The rows whose number is (or isn't) among ``numbers`` (row_number), as they came."""
-    return rows.join(numbers.select(F.col("row_number").alias(key)), key, how).drop(key)
+def _without(rows: DataFrame, key: str, decide: Callable[[], DataFrame]) -> DataFrame:
+    """The rows whose number ``decide`` doesn't give (row_number), as they came.
+
+    The numbers are written, so that Spark knows how few they are, and what the operator
+    staged and shuffled to find them is removed.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "pipeline-numbers")
+    with scratch_scope(spark), shuffles_removed(spark):
+        numbers = staged(decide(), path=path)
+    return rows.join(numbers.select(F.col("row_number").alias(key)), key, "left_anti").drop(key)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,26 +51,38 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one row with the largest id."""
     rows, key = _numbered(docs)
-    snapshot, incoming = exact_dedup.halves(rows)
-    judged = exact_dedup.exact_dedup(snapshot, incoming, row_col=key)
-    return _chosen(rows, key, judged.where("NOT kept").select(F.col("row_key").alias("row_number")), "left_anti").select(*docs.columns)
+
+    def copies() -> DataFrame:
+        snapshot, incoming = exact_dedup.halves(rows)
+        judged = exact_dedup.exact_dedup(snapshot, incoming, row_col=key)
+        return judged.where("NOT kept").select(F.col("row_key").alias("row_number"))
+
+    return _without(rows, key, copies).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near duplicates, one with the smallest id (null last)."""
     rows, key = _numbered(docs)
-    judged = near_dedup.near_duplicates(rows, threshold=0.8, size=5, id_col=key)
-    ids = rows.select(F.col(key).alias("row_number"), F.col("doc_id").cast("long").alias("row_id"))
-    classes = judged.select(F.col("doc_id").alias("row_number"), "class_id").join(ids, "row_number")
-    first = classes.groupBy("class_id").agg(F.min(F.struct(F.col("row_id").isNull().alias("no_id"), "row_id", "row_number")).alias("first"))
-    return _chosen(rows, key, first.select("first.row_number")).select(*docs.columns)
+
+    def copies() -> DataFrame:
+        judged = near_dedup.near_duplicates(rows, threshold=0.8, size=5, id_col=key)
+        ids = rows.select(F.col(key).alias("row_number"), F.col("doc_id").cast("long").alias("row_id"))
+        classes = staged(judged.select(F.col("doc_id").alias("row_number"), "class_id").join(ids, "row_number"), "pipeline-classes")
+        first = classes.groupBy("class_id").agg(F.min(F.struct(F.col("row_id").isNull().alias("no_id"), "row_id", "row_number")).alias("first"))
+        return classes.select("row_number").join(first.select("first.row_number"), "row_number", "left_anti")
+
+    return _without(rows, key, copies).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of ten words of a benchmark item."""
     rows, key = _numbered(docs)
-    judged = decontamination.decontaminate(rows, _table(spark, sf_dir, "benchmark"), window=10, id_col=key)
-    return _chosen(rows, key, judged.where("contaminated").select(F.col("doc_id").alias("row_number")), "left_anti").select(*docs.columns)
+
+    def leaks() -> DataFrame:
+        judged = decontamination.decontaminate(rows, _table(spark, sf_dir, "benchmark"), window=10, id_col=key)
+        return judged.where("contaminated").select(F.col("doc_id").alias("row_number"))
+
+    return _without(rows, key, leaks).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,10 +98,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each one's rows are written and read back by the next."""
-    docs = _table(spark, sf_dir, "documents")
+    """All stages over the documents; each one's rows are written, read back by the next, and then removed."""
+    docs, before = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs
