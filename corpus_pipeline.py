@@ -2,17 +2,19 @@
 
 Every stage takes (spark, docs, sf_dir), works on all documents its predecessor kept, and
 calls one operator of ``flowtables.llm``. All but the last return the columns of documents.
-A stage that decides about single rows numbers them first and writes them with their
-numbers, so that rows which share an id, or have none, are judged each by itself, and a
-row that was delivered twice stays once. Of what a stage works with, its numbered rows and
-the numbers it decided on outlive it. Empty inputs give empty outputs.
+A stage that decides about single rows numbers them first, so that rows which share an id, or
+have none, are judged each by itself, and a row that was delivered twice stays once. Rows of
+Parquet files, which the stages hand on, are numbered by their places there; any others are
+written with their numbers. Of what a stage works with, only the numbers it decided on, the list
+of the files and such written rows outlive it. Empty inputs give empty outputs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flowtables.llm import decontamination, exact_dedup, near_dedup, packing, queries, toxicity
 from flowtables.session import remove_path, scratch_path, scratch_scope, shuffles_removed, staged
@@ -22,12 +24,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _places(docs: DataFrame) -> DataFrame | None:
+    """(file, n, before): rows of every file of ``docs`` and of those before it by name; None if it isn't just rows of files as they lie there."""
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():
+        return None  # more than a scan
+    try:
+        place = docs.metadataColumn("_metadata")
+        rows = docs.select(place.getField("file_path").alias("file"), place.getField("row_index").alias("row"))
+    except AnalysisException:
+        return None  # no files, or of a kind whose rows have no numbers
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    counts = rows.groupBy("file").agg(F.count("*").alias("n"), F.max("row").alias("last"))
+    files = staged(counts.select("file", "n", "last", F.coalesce(before, F.lit(0)).alias("before")), "pipeline-files")
+    # A file that was named twice has two rows in each place.
+    return files.select("file", "n", "before") if files.where("n <> last + 1").isEmpty() else None
+
+
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a unique number in a column of its own, written, so that numbers stay; and the column's name."""
+    """The rows with a unique number in a column of its own, the same whenever they are read; and the column's name.
+
+    The number of a row of a file is how many come before it, there and in the files before. Rows
+    that don't just lie in files are written, so that numbers stay.
+    """
     name = "row_key"
     while name in docs.columns:
         name += "_"
-    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "pipeline-rows"), name
+    files = _places(docs)
+    if files is None:
+        return staged(docs.withColumn(name, F.monotonically_increasing_id()), "pipeline-rows"), name
+    place = docs.metadataColumn("_metadata")
+    placed = docs.select(F.struct("*").alias("doc"), place.getField("file_path").alias("file"), place.getField("row_index").alias("row"))
+    numbered = placed.join(F.broadcast(files.select("file", "before")), "file")
+    return numbered.select("doc.*", (F.col("before") + F.col("row")).alias(name)), name
 
 
 def _without(rows: DataFrame, key: str, decide: Callable[[], DataFrame]) -> DataFrame:

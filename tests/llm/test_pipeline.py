@@ -1,10 +1,15 @@
 """The stages of the pipeline, each against brute force on its own input."""
 
-import numpy as np
+import random
 import zlib
+from pathlib import Path
+
+import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from flowtables.llm import toxicity
+from flowtables.session import workspace
 from tests.llm import test_decontamination, test_near_dedup
 from tests.llm.test_tokens import ids
 
@@ -106,3 +111,56 @@ def test_rows_delivered_twice_leave_one(spark, tmp_path):
 
 def test_run(spark):
     assert cp.run(spark, SF).count() > 100
+
+
+def _scratch(spark):
+    """Bytes of Parquet in the workspace, whatever wrote them."""
+    return sum(p.stat().st_size for p in Path(workspace(spark)).rglob("*.parquet") if p.is_file())
+
+
+def test_deciding_stages_leave_no_copy_of_rows_in_files(spark, tmp_path):
+    rng = random.Random(3)
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect() if len(r.text.split()) >= 10)
+    near = [" ".join(f"w{i}" for i in range(200)), " ".join(f"w{i}" for i in range(1, 200))]
+    rows = [(i, t, 1) for i in (None, 7) for t in (item, "a clean text", *near)] * 2 + [(i, rng.randbytes(2000).hex(" "), i) for i in range(10, 500)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, row_key int")
+    made.repartition(5).write.parquet(f"{tmp_path}/docs 100%20")
+    docs = spark.read.parquet(f"{tmp_path}/docs 100%20")
+    size = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet") if p.is_file())
+    assert size > 500_000
+    for name in ("exact_dedup", "near_dedup", "decontamination"):
+        stage, before = dict(cp.STAGES)[name], _scratch(spark)
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{name}")
+        assert _scratch(spark) - before < size / 10
+        stage(spark, made, SF).write.parquet(f"{tmp_path}/{name}-made")
+        out, want = (spark.read.parquet(f"{tmp_path}/{name}{x}") for x in ("", "-made"))
+        assert out.columns == docs.columns
+        # Which of two near copies with one id stays is open.
+        left, right = (sorted(((r.doc_id, near[0] if r.text in near else r.text, r.row_key) for r in x.collect()), key=str) for x in (out, want))
+        assert left == right and len(left) < len(rows)
+
+
+def test_numbers_of_rows_are_unique_and_stay(spark, tmp_path):
+    path = f"{tmp_path}/docs"
+    made = spark.range(4000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit("x").alias("_metadata"), F.lit(1).alias("a.b"))
+    made.repartition(4).write.option("parquet.block.size", 20_000).parquet(path)
+    docs = spark.read.parquet(path)
+
+    def numbers(rows, key):
+        return {r[0]: r[1] for r in rows.select("doc_id", key).collect()}
+
+    rows, key = cp._numbered(docs)
+    first, before = numbers(rows, key), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert rows.columns == [*docs.columns, key] and rows.drop(key).exceptAll(docs).isEmpty()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    try:
+        assert rows.rdd.getNumPartitions() > 4 and numbers(rows, key) == first and sorted(first.values()) == list(range(4000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    # Rows that come from more than a scan, that lie in no file, or whose file is named twice.
+    for other in (docs.where("doc_id % 3 > 0"), docs.unionByName(docs), docs.crossJoin(spark.range(2)), docs.limit(7), spark.read.parquet(path, path), made, docs.limit(0)):
+        assert cp._places(other) is None
+        rows, key = cp._numbered(other)
+        assert rows.select(key).distinct().count() == rows.count() == other.count()
+    spark.range(0).write.parquet(f"{tmp_path}/empty")
+    assert cp._numbered(spark.read.parquet(f"{tmp_path}/empty"))[0].isEmpty()
