@@ -15,16 +15,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from flowtables.functions.dates import in_period
+from flowtables.operators.joins import fits_broadcast
 from flowtables.sinks.tables import append_table, ensure_table, replace_period
 
 _KEYS = ["ROSTER_SYSTEM", "LOAD_PERIOD"]
 _COLUMNS = ["INVOICEID", "INVOICE_YEAR", "INVOICE_MONTH"]
+_DELIVERY = ["INVOICEID", "LOAD_PERIOD"]
 
 
 def in_months(months: Iterable[date]) -> Column:
-    """Any of the months, by literals."""
-    return reduce(lambda a, b: a | b, [in_period(m) for m in sorted(months)], F.lit(False))
+    """Any of the months, by literals: a condition per year, however many months."""
+    years: dict[int, list[int]] = {}
+    for day in sorted(months):
+        years.setdefault(day.year, []).append(day.month)
+    each = [(F.col("INVOICE_YEAR") == F.lit(year)) & F.col("INVOICE_MONTH").isin(*found) for year, found in years.items()]
+    return reduce(lambda a, b: a | b, each, F.lit(False))
 
 
 class InvoiceIndex:
@@ -57,17 +62,32 @@ class InvoiceIndex:
         near = self.rows().filter(F.col("INVOICEID").between(F.lit(bounds.low), F.lit(bounds.high)))
         return near.join(invoices.select("INVOICEID").distinct(), "INVOICEID", "left_semi")
 
+    def deliveries(self, months: Iterable[date]) -> DataFrame:
+        """Invoices with rows in these months, by load, and whether a later load ``SUPERSEDED`` that one."""
+        inside = self.rows().filter(in_months(months))
+        last = self.of(inside).groupBy("INVOICEID").agg(F.max("LOAD_PERIOD").alias("__last"))
+        pairs = inside.select(*_DELIVERY).filter(F.col("LOAD_PERIOD").isNotNull()).distinct().join(last, "INVOICEID")
+        return pairs.select(*_DELIVERY, (F.col("LOAD_PERIOD") < F.col("__last")).alias("SUPERSEDED"))
+
     def live(self, months: Iterable[date]) -> DataFrame:
         """Invoices with rows in these months, where their last load has put them there."""
-        inside = self.rows().filter(in_months(months))
-        last = self.of(inside).groupBy("INVOICEID").agg(F.max("LOAD_PERIOD").alias("LOAD_PERIOD"))
-        return inside.select("INVOICEID", "LOAD_PERIOD").distinct().join(last, ["INVOICEID", "LOAD_PERIOD"])
+        return self.deliveries(months).filter(~F.col("SUPERSEDED")).select(*_DELIVERY)
 
     def current(self, months: Iterable[date], live: DataFrame) -> DataFrame:
         """Detail rows of ``live`` invoices in these months, read from the loads that hold them."""
+        return self._held(months, live).join(live, _DELIVERY, "left_semi")
+
+    def standing(self, months: Iterable[date], deliveries: DataFrame) -> DataFrame:
+        """The same rows from ``deliveries``: where few were superseded, these are left out and no detail is shuffled."""
+        live = deliveries.filter(~F.col("SUPERSEDED")).select(*_DELIVERY)
+        gone = deliveries.filter("SUPERSEDED").select(*_DELIVERY)
+        if not fits_broadcast(gone):
+            return self.current(months, live)
+        return self._held(months, live).filter(F.col("INVOICEID").isNotNull()).join(F.broadcast(gone), _DELIVERY, "left_anti")
+
+    def _held(self, months: Iterable[date], live: DataFrame) -> DataFrame:
         loads = [r.LOAD_PERIOD for r in live.select("LOAD_PERIOD").distinct().collect()]  # no more than there are loads
-        held = self.spark.table(self.detail).filter((F.col("ROSTER_SYSTEM") == self.system) & F.col("LOAD_PERIOD").isin(loads) & in_months(months))
-        return held.join(live, ["INVOICEID", "LOAD_PERIOD"], "left_semi")
+        return self.spark.table(self.detail).filter((F.col("ROSTER_SYSTEM") == self.system) & F.col("LOAD_PERIOD").isin(loads) & in_months(months))
 
 
 def months_of(rows: DataFrame) -> set[date]:

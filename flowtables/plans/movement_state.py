@@ -20,15 +20,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
+from flowtables.operators.joins import fits_broadcast
 from flowtables.operators.windows import keep_latest, latest_first
 from flowtables.session import staging
 from flowtables.sinks.tables import dynamic_overwrite, ensure_table, in_table_order, only_partitions, replace_table, touched_partitions
 
-_MONTH, _BEFORE = "STATE_MONTH", "STATE_BEFORE"
+_MONTH, _BEFORE, _NEWEST = "STATE_MONTH", "STATE_BEFORE", "STATE_NEWEST"
 #: Stands for rows without a date, which come behind all others.
 _UNDATED = date(9999, 12, 1)
 
 
+def _as_planned(df: DataFrame) -> DataFrame:
+    return df
+
+
 @dataclass(frozen=True)
 class MovementState:
     """Tables of the state, and what the rows are keyed, dated and valued by."""
@@ -60,35 +65,42 @@ class MovementState:
             months = touched_partitions(new, [_MONTH])
             if not months:
                 return []
-            old = stage(only_partitions(spark.table(self.rows), months, [_MONTH]), "touched-months")
-            last = stage(spark.table(self.last), "last")
-            met = new.alias("n").join(last.alias("l"), self._same("n", "l"), "left")
-            late = stage(met.filter(F.col(f"n.{_MONTH}") < F.col("LAST_MONTH")).select(*[F.col(f"n.{k}").alias(k) for k in self.keys]).distinct(), "corrected")
-            merged = stage(self._latest(new.unionByName(old.select(*columns, _MONTH)), columns), "merged")
-            mine = merged.alias("m").join(new.select(*self.keys).distinct().alias("n"), self._same("m", "n"), "left_semi")
+            # Only keys with a last month have stored rows; the others need nothing of the history.
+            arrived_keys = new.select(*self.keys).distinct().alias("n")
+            met = stage(spark.table(self.last).alias("l").join(arrived_keys, self._same("l", "n"), "left_semi"), "met")
+            side = F.broadcast if fits_broadcast(met) else _as_planned
+            known = side(met.select(*self.keys).alias("k"))
+            old = only_partitions(spark.table(self.rows), months, [_MONTH]).alias("m")
+            old = stage(old.join(known, self._same("m", "k"), "left_semi").select(*columns, _MONTH), "stored")
+            over = new.alias("n").join(side(met.alias("l")), self._same("n", "l"))
+            late = stage(over.filter(F.col(f"n.{_MONTH}") < F.col("LAST_MONTH")).select(*[F.col(f"n.{k}").alias(k) for k in self.keys]).distinct(), "corrected")
+            corrected = not late.isEmpty()
+            mine = new if old.isEmpty() else stage(self._latest(new.unionByName(old), columns), "merged")
             order = Window.partitionBy(*self.keys).orderBy(_MONTH)
-            before = F.lag(self.value).over(order)
-            plain = mine.alias("m").join(late.alias("c"), self._same("m", "c"), "left_anti")
+            before, newest = F.lag(self.value).over(order), F.lead(_MONTH).over(order).isNull()
+            plain = mine.alias("m").join(late.alias("c"), self._same("m", "c"), "left_anti") if corrected else mine
             # The first of a key's months follows the last one stored, or is that one; months before it stay as they are.
-            based = plain.alias("m").join(last.alias("l"), self._same("m", "l"), "left")
+            based = plain.alias("m").join(side(met.alias("l")), self._same("m", "l"), "left")
             based = based.filter(F.col("LAST_MONTH").isNull() | (F.col(_MONTH) >= F.col("LAST_MONTH")))
             base = F.when(F.col("LAST_MONTH") == F.col(_MONTH), F.col("LAST_BEFORE")).otherwise(F.col("LAST_VALUE"))
             moved = based.select(*[F.col(f"m.{c}").alias(c) for c in [*columns, _MONTH]], base.alias("base"))
-            moved = moved.withColumn(_BEFORE, F.when(F.row_number().over(order) == 1, F.col("base")).otherwise(before)).drop("base")
-            if not late.isEmpty():  # months of corrected keys, with what is merged in place of what was stored
+            first = F.row_number().over(order) == 1
+            moved = moved.withColumns({_BEFORE: F.when(first, F.col("base")).otherwise(before), _NEWEST: newest}).drop("base")
+            if corrected:  # months of corrected keys, with what is merged in place of what was stored
                 stored = spark.table(self.rows).alias("m").join(late.alias("c"), self._same("m", "c"), "left_semi").select(*columns, _MONTH)
-                kept = stored.alias("m").join(merged.alias("n"), self._same("m", "n", [_MONTH]), "left_anti")
+                kept = stored.alias("m").join(mine.alias("n"), self._same("m", "n", [_MONTH]), "left_anti")
                 whole = kept.unionByName(mine.alias("m").join(late.alias("c"), self._same("m", "c"), "left_semi"))
-                moved = moved.unionByName(whole.withColumn(_BEFORE, before))
+                moved = moved.unionByName(whole.withColumns({_BEFORE: before, _NEWEST: newest}))
             moved = stage(moved, "moved")
             touched = touched_partitions(moved.select(_MONTH).unionByName(new.select(_MONTH)), [_MONTH])
-            rest = only_partitions(spark.table(self.rows), touched, [_MONTH]).alias("m").join(moved.alias("n"), self._same("m", "n", [_MONTH]), "left_anti")
+            replaced = stage(moved.select(*self.keys, _MONTH).alias("m").join(known, self._same("m", "k"), "left_semi"), "replaced")
+            gone = (F.broadcast if fits_broadcast(replaced) else _as_planned)(replaced.alias("n"))
+            rest = only_partitions(spark.table(self.rows), touched, [_MONTH]).alias("m").join(gone, self._same("m", "n", [_MONTH]), "left_anti")
             after = stage(rest.unionByName(moved.select(*rest.columns)), "after")
             with dynamic_overwrite(spark):
                 in_table_order(after, self.rows).write.mode("overwrite").insertInto(self.rows)
-            newest = keep_latest(moved, list(self.keys), [latest_first(_MONTH)], [_MONTH])
-            ends = newest.select(*self.keys, F.col(_MONTH).alias("LAST_MONTH"), F.col(self.value).alias("LAST_VALUE"), F.col(_BEFORE).alias("LAST_BEFORE"))
-            others = last.alias("l").join(ends.alias("e"), self._same("l", "e"), "left_anti")
+            ends = moved.filter(_NEWEST).select(*self.keys, F.col(_MONTH).alias("LAST_MONTH"), F.col(self.value).alias("LAST_VALUE"), F.col(_BEFORE).alias("LAST_BEFORE"))
+            others = spark.table(self.last).alias("l").join(known, self._same("l", "k"), "left_anti")
             replace_table(others.unionByName(ends), self.last)
         return [None if r[_MONTH] == _UNDATED else r[_MONTH] for r in touched]
 

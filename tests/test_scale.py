@@ -1,12 +1,18 @@
 """What keeps large tables off the driver, a single task and the disk."""
 
 import os
+from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from flowtables import session
+from flowtables import schemas, session
 from flowtables.operators import joins
+from flowtables.plans import invoice_index, movement_state, revenue
+from flowtables.plans.invoice_index import InvoiceIndex
+from flowtables.plans.movement_state import MovementState
 from flowtables.sinks import exports
+from flowtables.sinks.tables import append_table, ensure_table
 from flowtables.sources import files
 
 
@@ -88,3 +94,67 @@ def test_shuffles_and_scratch_go_with_the_work(spark):
         path = session.scratch_path(spark, "x")
         assert session.staged(counted(), path=path).count() == 7 and os.path.isdir(path)
     assert not os.path.exists(path) and "scope-" not in session.scratch_path(spark, "y")
+
+
+def test_wide_files_are_loaded_by_methods_the_jvm_compiles(spark, db, folder, monkeypatch):
+    key, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(key)
+    inner = revenue.replace_period
+    monkeypatch.setattr(revenue, "replace_period", lambda *a: (seen.append(spark.conf.get(key)), inner(*a))[1])
+    path = exports.export_csv(schemas.pad_to(spark.range(3).select(F.col("id").alias("invoiceid")), schemas.INVOICE_ITEM), folder, "i.csv", single_file=False, null_value="NULL").path
+    assert revenue.load_file_once(spark, path, schemas.INVOICE_ITEM, f"{db}.items", "A", "2026_02").rows == 3
+    assert seen == ["8000"] and spark.conf.get(key) == before
+    with session.staging(spark):
+        assert spark.conf.get(key) == "8000"
+    assert spark.conf.get(key) == before
+
+
+def test_detail_is_not_shuffled_where_few_deliveries_were_superseded(spark, db, monkeypatch):
+    def detail(period, invoices):
+        own = [(i, "2026_01" if i < 4 else period, 2026, 1 if i < 4 else 2) for i in invoices]
+        shape = "INVOICEID decimal(38,0), TYPE string, INVOICE_YEAR int, INVOICE_MONTH int, ROSTER_SYSTEM string, LOAD_PERIOD string"
+        return spark.createDataFrame([(Decimal(i), t, y, m, "SYS", period) for i, t, y, m in own for _ in range(2)], shape)
+
+    loads = {"2026_01": detail("2026_01", [1, 2, 3, 5]), "2026_02": detail("2026_02", [2, 6])}
+    ensure_table(spark, f"{db}.detail", loads["2026_01"].schema, ["ROSTER_SYSTEM", "LOAD_PERIOD"])
+    for rows_of_load in loads.values():
+        append_table(rows_of_load, f"{db}.detail")
+    index, months = InvoiceIndex(spark, f"{db}.index", f"{db}.detail", "SYS"), [date(2026, 1, 1), date(2026, 2, 1)]
+    deliveries = session.staged(index.deliveries(months))
+    want = [(i, p) for p, own in (("2026_01", [1, 3, 5]), ("2026_02", [2, 6])) for i in own for _ in range(2)]
+
+    def found():
+        return sorted((int(r.INVOICEID), r.LOAD_PERIOD) for r in index.standing(months, deliveries).collect())
+
+    assert found() == sorted(want)
+    plan = index.standing(months, deliveries)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "Exchange hashpartitioning" not in plan
+    monkeypatch.setattr(invoice_index, "fits_broadcast", lambda df: False)
+    assert found() == sorted(want)
+
+
+def test_movement_of_new_keys_needs_no_history(spark, db, monkeypatch):
+    state = MovementState(f"{db}.rows", f"{db}.last", ("k", "c"), "stamp", "v")
+    shape = "k string, c string, stamp date, v decimal(18,2)"
+
+    def frame(*found):
+        return spark.createDataFrame([(k, c, date(2026, m, 3), Decimal(v)) for k, c, m, v in found], shape)
+
+    state.advance(spark, frame(("a", None, 1, 10), ("b", "x", 1, 5), ("b", "x", 2, 7)))
+    plans, inner = {}, session.staged
+
+    def seen(df, label="stage", path=None):
+        plans[path.rpartition("-")[2]] = df._jdf.queryExecution().executedPlan().toString()
+        return inner(df, label, path)
+
+    monkeypatch.setattr(session, "staged", seen)
+    state.advance(spark, frame(("c", None, 1, 3), ("c", None, 2, 4)))
+    assert "SortMergeJoin" not in plans["moved"] + plans["after"] and "merged" not in plans
+    # A corrected month of c, and a value of b that ties by date and loses to the smaller one; by shuffled joins.
+    more = [("c", None, 3, 9), ("b", "x", 2, 8), ("c", None, 1, 2), ("d", "y", 2, 1)]
+    monkeypatch.setattr(movement_state, "fits_broadcast", lambda df: False)
+    state.advance(spark, frame(*more))
+    got = sorted((r.k, r.STATE_MONTH.month, int(r.v), r.STATE_BEFORE and int(r.STATE_BEFORE)) for r in spark.table(state.rows).collect())
+    assert got == [("a", 1, 10, None), ("b", 1, 5, None), ("b", 2, 7, 5), ("c", 1, 2, None), ("c", 2, 4, 2), ("c", 3, 9, 4), ("d", 2, 1, None)]
+    last = {r.k: (r.LAST_MONTH.month, int(r.LAST_VALUE)) for r in spark.table(state.last).collect()}
+    assert last["a"] == (1, 10) and last["c"] == (3, 9) and last["d"] == (2, 1) and len(last) == 4
