@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from flowtables import schemas, session
+from flowtables.harness import billing
 from flowtables.operators import joins
 from flowtables.plans import invoice_index, movement_state, revenue
 from flowtables.plans.invoice_index import InvoiceIndex
@@ -158,3 +159,32 @@ def test_movement_of_new_keys_needs_no_history(spark, db, monkeypatch):
     assert got == [("a", 1, 10, None), ("b", 1, 5, None), ("b", 2, 7, 5), ("c", 1, 2, None), ("c", 2, 4, 2), ("c", 3, 9, 4), ("d", 2, 1, None)]
     last = {r.k: (r.LAST_MONTH.month, int(r.LAST_VALUE)) for r in spark.table(state.last).collect()}
     assert last["a"] == (1, 10) and last["c"] == (3, 9) and last["d"] == (2, 1) and len(last) == 4
+
+
+def test_revenue_chain_is_worked_out_once(spark, folder, monkeypatch):
+    days = "timestamp_ntz"
+    made = {
+        "nation": spark.createDataFrame([(0, "N0", 0), (1, "N1", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "supplier": spark.createDataFrame([(1, "Supplier#000000001", 0, 9000.0), (2, "Supplier#000000002", 1, 1.0)], "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+        "orders": spark.createDataFrame(
+            [(k, k, "OFP"[k % 3], 10.5 * k, f"{1998 + k % 3}-03-0{k}", "5-LOW") for k in range(1, 7)],
+            "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, d string, o_orderpriority string",
+        ).withColumn("o_orderdate", F.col("d").cast(days)).drop("d"),
+        "lineitem": spark.createDataFrame(
+            [(k, n, k % 3, n, 2.0, 7.25 * k, 0.05, 0.0, "ARN"[n % 3], "OF"[k % 2], f"{1999 + n % 2}-0{n}-11") for k in range(1, 7) for n in range(1, 5)],
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, d string",
+        ).withColumn("l_shipdate", F.col("d").cast(days)).drop("d"),
+    }
+    for name, df in made.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    want = rows(billing.revenue_master(spark, folder))
+    assert want
+    # A lookup that is too large to broadcast counts the rows of its other side beforehand.
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df, limit=0: False)
+    out = billing.revenue_master(spark, folder)
+    assert not any("lineitem.parquet" in f or "orders.parquet" in f for f in out.inputFiles())
+    assert rows(out) == want
+    staged = []
+    found = billing.snapshots(spark, folder)
+    steps = revenue.snapshot_detail(found, stage=lambda df, label: staged.append(label) or session.staged(df, label))
+    assert rows(steps) == rows(revenue.snapshot_detail(found)) and staged == ["monthly"]
