@@ -35,6 +35,8 @@ def read_typed_csv(
     load.  Fields are read as text first, because a NULL token has to be recognised in
     numeric and date columns too.  Files stay splittable unless ``multi_line`` is asked for.
     """
+    # Most fields of a wide file are one token, of which the parser makes no text; blanks have to be NULL with it.
+    parsed = next(filter(None, null_tokens), "") if "" in null_tokens else ""
     raw = (
         spark.read.schema(text_schema(schema))
         .option("header", True)
@@ -42,6 +44,7 @@ def read_typed_csv(
         .option("mode", "FAILFAST")
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", parsed)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .option("multiLine", multi_line)

@@ -188,3 +188,19 @@ def test_revenue_chain_is_worked_out_once(spark, folder, monkeypatch):
     found = billing.snapshots(spark, folder)
     steps = revenue.snapshot_detail(found, stage=lambda df, label: staged.append(label) or session.staged(df, label))
     assert rows(steps) == rows(revenue.snapshot_detail(found)) and staged == ["monthly"]
+
+
+def test_null_tokens_mean_the_same_wherever_they_are_resolved(spark, folder):
+    with open(f"{folder}/x.csv", "w") as f:
+        f.write('a,b,c\n"NULL",NULL,null\n"",," NULL "\n"null"," null ",x\n  ,"  ",NULL x\n1,"2""q",NULL\n')
+    schema = schemas.struct_of("a string\nb string\nc string")
+
+    def read(*tokens):
+        return [tuple(r) for r in files.read_typed_csv(spark, f"{folder}/x.csv", schema, tokens).collect()]
+
+    n = None
+    assert read("", "NULL", "null") == [(n, n, n), (n, n, n), (n, n, "x"), (n, n, "NULL x"), ("1", '2"q', n)]
+    assert read("NULL") == [(n, n, "null"), (n, n, n), ("null", "null", "x"), (n, "", "NULL x"), ("1", '2"q', n)]
+    # Fields of the token never become text: the reader gives NULL already.
+    plan = files.read_typed_csv(spark, f"{folder}/x.csv", schema)._jdf.queryExecution().analyzed().collectLeaves().head().relation().options()
+    assert plan.apply("nullValue") == "NULL"
